@@ -7,13 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, jaccard, packing
+from . import chunks, counts, jaccard, packing, toxicity, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    held_out = toxicity.remainder("doc_id", 3) == 1
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), machine).drop("text")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -22,11 +29,19 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_packing, op5_jaccard_join, op8_token_counts)
+    f.__name__: f for f in (op1_toxicity, op4_packing, op5_jaccard_join, op6_substring_dedup, op8_token_counts, op9_winnowing)
 }
 ORACLES: dict[str, str] = {}
