@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, counts, jaccard, packing, toxicity, winnowing
+from . import chunks, counts, jaccard, mixing, packing, ppm, toxicity, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return mixed.select("doc_id", "source", "lang", *(mixed[f"_{c}"].alias(c) for c in ("topic", "tokens", "probability", "kept")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -41,7 +46,11 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op4_packing, op5_jaccard_join, op6_substring_dedup, op8_token_counts, op9_winnowing)
+    f.__name__: f for f in (op1_toxicity, op4_packing, op5_jaccard_join, op6_substring_dedup, op7_mixing, op8_token_counts, op9_winnowing, op10_lm_scores)
 }
 ORACLES: dict[str, str] = {}
