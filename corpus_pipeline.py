@@ -4,18 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lightfold.llm import jaccard
+from lightfold.llm import chunks, jaccard, mixing, packing, toxicity
 from lightfold.llm.scratch import written
 
 
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine scores under 0.7."""
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, machine).where("predicted = 0").select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more): the smallest id."""
     return jaccard.one_of_each(docs, k=5, num=80, den=100)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("near duplicates", near_duplicates)]
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that occur earlier; one of which nothing is left goes."""
+    found = chunks.dedup_passages(docs)
+    left = found.where((F.col("removed_words") == 0) | (F.length(F.trim("text")) > 0))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col("removed_words") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens have tempered shares of source, language and topic."""
+    return mixing.mix(docs).where("_kept").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents in sequences of 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic_out),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("target weights", target_weights),
+    ("packing", packed),
+]
 #: SQL cannot express the learned, hashed and fitted stages; they are tested against brute force.
 ORACLE_SQL: str | None = None
 
