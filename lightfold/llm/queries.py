@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chunks, counts, jaccard, mixing, packing, ppm, toxicity, winnowing
+from . import chunks, counts, jaccard, mixing, packing, ppm, preferences, search, toxicity, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), machine).drop("text")
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the documents whose id 100 divides, each by the 16 most telling terms of its whole text."""
+    docs = _table(spark, sf_dir, "documents")
+    return search.search(search.build(docs), docs.where("doc_id % 100 = 0"), query_terms=16)
+
+
+def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table states no preference: conversation 2i is taken as chosen and 2i + 1 as rejected."""
+    turns = _table(spark, sf_dir, "conversations")
+    pair, rejected = F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 1).alias("rejected")
+    return preferences.format_preferences(turns.select(pair, rejected, "turn", "role", "text"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,6 +65,6 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op4_packing, op5_jaccard_join, op6_substring_dedup, op7_mixing, op8_token_counts, op9_winnowing, op10_lm_scores)
+    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_preferences, op4_packing, op5_jaccard_join, op6_substring_dedup, op7_mixing, op8_token_counts, op9_winnowing, op10_lm_scores)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_preferences": preferences.ORACLE}
