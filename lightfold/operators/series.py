@@ -9,18 +9,24 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.numbers import MAD_TO_SIGMA, digamma_less_euler, finite, sigmoid
 
-BY = Window.partitionBy("series_id")
-IN_TIME = BY.orderBy("t")
 # Fill corrections and cumulative Gaussian rates of higher-order crossings.
 CROSSING_FILL = (3.625418060200669, 5.250836120401338, 7.117056856187291, 8.862876254180602, 10.608695652173914, 12.234113712374581)
 CROSSING_GAUSS = (0.49912, 0.666367, 0.732079, 0.769869, 0.795083)
 
 
+def by_series() -> WindowSpec:
+    return Window.partitionBy("series_id")
+
+
+def in_time() -> WindowSpec:
+    return by_series().orderBy("t")
+
+
 def clean(lc: DataFrame) -> DataFrame:
     """Rows with finite time and flux."""
     return lc.where(finite(F.col("t")) & finite(F.col("flux")))
@@ -28,12 +34,12 @@ def clean(lc: DataFrame) -> DataFrame:
 
 def truncated(lc: DataFrame, days: float = 27.4) -> DataFrame:
     """The first ``days`` of each series."""
-    return lc.withColumn("_t0", F.min("t").over(BY)).where(F.col("t") - F.col("_t0") <= days).drop("_t0")
+    return lc.withColumn("_t0", F.min("t").over(by_series())).where(F.col("t") - F.col("_t0") <= days).drop("_t0")
 
 
 def relative_ppm(lc: DataFrame) -> DataFrame:
     """Flux relative to the series' median, in parts per million."""
-    return lc.withColumn("flux", (F.col("flux") / F.median("flux").over(BY) - 1) * 1e6)
+    return lc.withColumn("flux", (F.col("flux") / F.median("flux").over(by_series()) - 1) * 1e6)
 
 
 def variance(lc: DataFrame) -> DataFrame:
@@ -42,14 +48,14 @@ def variance(lc: DataFrame) -> DataFrame:
 
 def point_to_point(lc: DataFrame) -> DataFrame:
     """Median, 98th percentile and mean of the absolute step between neighbours in time."""
-    step = F.abs(F.col("flux") - F.lag("flux").over(IN_TIME))
+    step = F.abs(F.col("flux") - F.lag("flux").over(in_time()))
     return clean(lc).withColumn("step", step).groupBy("series_id").agg(F.median("step").alias("ptp"), F.percentile("step", 0.98).alias("p2p_98"), F.avg("step").alias("p2p_mean"))
 
 
 def folded_point_to_point(lc: DataFrame, period: Column) -> DataFrame:
     """The same of neighbours in phase."""
     folded = clean(lc).withColumn("phase", phase(F.col("t"), period))
-    step = F.abs(F.col("flux") - F.lag("flux").over(BY.orderBy("phase", "t")))
+    step = F.abs(F.col("flux") - F.lag("flux").over(by_series().orderBy("phase", "t")))
     return folded.withColumn("step", step).groupBy("series_id").agg(F.percentile("step", 0.98).alias("p2p_98_phasefold"), F.avg("step").alias("p2p_mean_phasefold"))
 
 
@@ -65,15 +71,15 @@ def rms_timescale(lc: DataFrame, width: float = 3600 / 86400) -> DataFrame:
     A series without finite flux has null; one whose bin spans it all has 0.
     """
     times = lc.where(finite(F.col("t")))
-    span = times.withColumns({"t0": F.min("t").over(BY), "t1": F.max("t").over(BY)})
+    span = times.withColumns({"t0": F.min("t").over(by_series()), "t1": F.max("t").over(by_series())})
     last = F.greatest(F.ceil((F.col("t1") - F.col("t0")) / width), F.lit(1)) - 1
     bins = span.withColumn("bin", F.least(F.floor((F.col("t") - F.col("t0")) / width), last)).groupBy("series_id", "bin").agg(F.avg(F.when(finite(F.col("flux")), F.col("flux"))).alias("m"))
-    middle = bins.withColumn("dev", F.abs(F.col("m") - F.median("m").over(BY)))
+    middle = bins.withColumn("dev", F.abs(F.col("m") - F.median("m").over(by_series())))
     return middle.groupBy("series_id").agg((F.median("dev") * MAD_TO_SIGMA).alias("rms"))
 
 
 def median_mad(lc: DataFrame) -> DataFrame:
-    middle = clean(lc).withColumn("med", F.median("flux").over(BY))
+    middle = clean(lc).withColumn("med", F.median("flux").over(by_series()))
     return middle.groupBy("series_id").agg(F.first("med").alias("median"), (F.median(F.abs(F.col("flux") - F.col("med"))) * MAD_TO_SIGMA).alias("sigma"))
 
 
@@ -84,7 +90,7 @@ def moments(lc: DataFrame) -> DataFrame:
 
 def eta(lc: DataFrame) -> DataFrame:
     """Mean squared step over the variance, weighted by 1 / error."""
-    step = F.col("flux") - F.lag("flux").over(IN_TIME)
+    step = F.col("flux") - F.lag("flux").over(in_time())
     w = 1 / F.col("flux_err")
     sums = clean(lc).withColumns({"step": step, "w": w}).groupBy("series_id").agg(F.count("*").alias("n"), F.sum(F.col("step") ** 2).alias("steps"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("flux")).alias("wf"), F.sum(F.col("w") * F.col("flux") ** 2).alias("wff"))
     spread = F.col("wff") / F.col("w") - (F.col("wf") / F.col("w")) ** 2
@@ -94,7 +100,7 @@ def eta(lc: DataFrame) -> DataFrame:
 def trend(lc: DataFrame, weighted: bool = True) -> DataFrame:
     """Slope and level at the first time of a straight line; residuals are divided by flux_err if weighted."""
     w = 1 / F.col("flux_err") ** 2 if weighted else F.lit(1.0)
-    x = F.col("t") - F.min("t").over(BY)
+    x = F.col("t") - F.min("t").over(by_series())
     s = clean(lc).select("series_id", w.alias("w"), x.alias("x"), F.col("flux").alias("y")).groupBy("series_id").agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("x")).alias("sx"), F.sum(F.col("w") * F.col("y")).alias("sy"), F.sum(F.col("w") * F.col("x") ** 2).alias("sxx"), F.sum(F.col("w") * F.col("x") * F.col("y")).alias("sxy"))
     slope = F.try_divide(F.col("s") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("s") * F.col("sxx") - F.col("sx") ** 2)
     return s.withColumn("slope", slope).select("series_id", "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("s")).alias("level"))
@@ -103,7 +109,7 @@ def trend(lc: DataFrame, weighted: bool = True) -> DataFrame:
 def detrended(lc: DataFrame, weighted: bool = True) -> DataFrame:
     """The series less its straight line."""
     line = trend(lc, weighted)
-    x = F.col("t") - F.min("t").over(BY)
+    x = F.col("t") - F.min("t").over(by_series())
     return lc.withColumn("_x", x).join(line, "series_id").withColumn("flux", F.col("flux") - F.col("level") - F.col("slope") * F.col("_x")).drop("_x", "slope", "level")
 
 
@@ -115,8 +121,8 @@ def prepared(lc: DataFrame, flatten: bool = False) -> DataFrame:
 
 def cumulative_range(lc: DataFrame, order: Column | None = None) -> DataFrame:
     """Range of the cumulative sum of deviations, over n sigma; in time, or by ``order``."""
-    base = clean(lc).withColumns({"mean": F.avg("flux").over(BY), "sd": F.stddev_pop("flux").over(BY), "n": F.count("*").over(BY)})
-    upto = BY.orderBy(F.col("t") if order is None else order, "t").rowsBetween(Window.unboundedPreceding, 0)
+    base = clean(lc).withColumns({"mean": F.avg("flux").over(by_series()), "sd": F.stddev_pop("flux").over(by_series()), "n": F.count("*").over(by_series())})
+    upto = by_series().orderBy(F.col("t") if order is None else order, "t").rowsBetween(Window.unboundedPreceding, 0)
     s = F.sum(F.col("flux") - F.col("mean")).over(upto)
     sums = base.withColumn("s", F.try_divide(s, F.col("n") * F.col("sd")))
     return sums.groupBy("series_id").agg((F.max("s") - F.min("s")).alias("rcs"))
@@ -124,17 +130,17 @@ def cumulative_range(lc: DataFrame, order: Column | None = None) -> DataFrame:
 
 def fill_factor(lc: DataFrame) -> DataFrame:
     """Points over span by median step."""
-    step = F.col("t") - F.lag("t").over(IN_TIME)
+    step = F.col("t") - F.lag("t").over(in_time())
     own = clean(lc).withColumn("step", step).groupBy("series_id").agg(F.count("*").alias("n"), (F.max("t") - F.min("t")).alias("span"), F.median("step").alias("step"))
     return own.select("series_id", "n", F.try_divide(F.col("n"), F.try_divide(F.col("span"), F.col("step"))).alias("fill"))
 
 
 def crossings(lc: DataFrame, k: int = 5) -> DataFrame:
     """Rates of sign changes of the 0th to (k-1)th differences about the median, corrected for gaps, and psi."""
-    base = clean(lc).withColumn("y", F.col("flux") - F.median("flux").over(BY)).withColumn("d0", F.col("y"))
+    base = clean(lc).withColumn("y", F.col("flux") - F.median("flux").over(by_series())).withColumn("d0", F.col("y"))
     for i in range(1, k):
-        base = base.withColumn(f"d{i}", F.col(f"d{i - 1}") - F.lag(f"d{i - 1}").over(IN_TIME))
-    flips = [F.when(F.col(f"d{i}").isNotNull() & F.lag(f"d{i}").over(IN_TIME).isNotNull(), ((F.col(f"d{i}") >= 0) != (F.lag(f"d{i}").over(IN_TIME) >= 0)).cast("int")) for i in range(k)]
+        base = base.withColumn(f"d{i}", F.col(f"d{i - 1}") - F.lag(f"d{i - 1}").over(in_time()))
+    flips = [F.when(F.col(f"d{i}").isNotNull() & F.lag(f"d{i}").over(in_time()).isNotNull(), ((F.col(f"d{i}") >= 0) != (F.lag(f"d{i}").over(in_time()) >= 0)).cast("int")) for i in range(k)]
     counted = base.withColumns({f"f{i}": f for i, f in enumerate(flips)}).groupBy("series_id").agg(*(F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"c{i}") for i in range(k)))
     own = counted.join(fill_factor(lc), "series_id")
     full = [1 / (1 + math.exp(-q)) - 0.5 for q in CROSSING_FILL]
@@ -170,9 +176,9 @@ def phase_bins(lc: DataFrame, period: Column, bins: int = 64, cut: float = 0.0)
 def shape_vector(lc: DataFrame, period: Column, bins: int = 64) -> DataFrame:
     """(series_id, place, value, range): the folded series scaled to 0..1 (all 1 if flat), its minimum first."""
     binned = phase_bins(lc, period, bins)
-    own = binned.withColumns({"low": F.min("flux").over(BY), "high": F.max("flux").over(BY)})
+    own = binned.withColumns({"low": F.min("flux").over(by_series()), "high": F.max("flux").over(by_series())})
     scaled = own.withColumn("value", F.when(F.col("high") > F.col("low"), (F.col("flux") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(1.0))
-    first = F.min_by("bin", F.struct("value", "bin")).over(BY)
+    first = F.min_by("bin", F.struct("value", "bin")).over(by_series())
     return scaled.withColumn("first", first).select("series_id", F.pmod(F.col("bin") - F.col("first"), F.lit(bins)).cast("int").alias("place"), "value", (F.col("high") - F.col("low")).alias("range"))
 
 
@@ -182,10 +188,10 @@ def corrected_period(lc: DataFrame, period: float, bins: int = 64) -> DataFrame:
         return clean(lc).select("series_id").distinct().select("series_id", F.lit(float(period)).alias("period"))
     flat = detrended(clean(lc), weighted=False).withColumn("flux", F.col("flux") + 1)
     binned = phase_bins(flat, F.lit(2.0 * period), bins, cut=5)
-    least = binned.withColumn("best", F.min_by(F.struct("phase", "flux"), F.struct("flux", "bin")).over(BY))
+    least = binned.withColumn("best", F.min_by(F.struct("phase", "flux"), F.struct("flux", "bin")).over(by_series()))
     apart = F.pmod(F.abs(F.col("phase") - F.pmod(F.col("best.phase") + 0.5, F.lit(1.0))), F.lit(1.0))
     second = least.where((apart < 0.05) | (apart > 0.95)).groupBy("series_id").agg(F.min("flux").alias("second"), F.first("best.flux").alias("first"))
-    ends = flat.withColumns({"up": F.row_number().over(BY.orderBy("flux", "t")), "down": F.row_number().over(BY.orderBy(F.desc("flux"), "t"))}).groupBy("series_id").agg(
+    ends = flat.withColumns({"up": F.row_number().over(by_series().orderBy("flux", "t")), "down": F.row_number().over(by_series().orderBy(F.desc("flux"), "t"))}).groupBy("series_id").agg(
         F.median(F.when(F.col("down") <= 30, F.col("flux"))).alias("top"), F.median(F.when(F.col("up") <= 30, F.col("flux"))).alias("bottom"), (F.max("t") - F.min("t")).alias("span")
     )
     depth = F.col("second") - F.col("first")
@@ -195,14 +201,14 @@ def corrected_period(lc: DataFrame, period: float, bins: int = 64) -> DataFrame:
 
 def flux_ratio(lc: DataFrame) -> DataFrame:
     """Logarithm of the root of mean squares below the mean over those above."""
-    base = clean(lc).withColumn("d", F.col("flux") - F.avg("flux").over(BY))
+    base = clean(lc).withColumn("d", F.col("flux") - F.avg("flux").over(by_series()))
     own = base.groupBy("series_id").agg(F.avg(F.when(F.col("d") < 0, F.col("d") ** 2)).alias("below"), F.avg(F.when(F.col("d") >= 0, F.col("d") ** 2)).alias("above"))
     return own.select("series_id", F.log(F.sqrt(F.try_divide("below", "above"))).alias("flux_ratio"))
 
 
 def neighbour_entropy(values: DataFrame, k: int = 3, value: str = "flux") -> DataFrame:
     """Differential entropy in bits from distances to the k-th nearest neighbour; points at distance 0 are left out."""
-    order = BY.orderBy(value)
+    order = by_series().orderBy(value)
     base = values.where(finite(F.col(value)))
     near = F.array(*(F.abs(F.col(value) - f(value, i).over(order)) for i in range(1, k + 1) for f in (F.lag, F.lead)))
     dist = F.array_sort(F.filter(near, lambda x: x.isNotNull()))[k - 1]
@@ -212,5 +218,5 @@ def neighbour_entropy(values: DataFrame, k: int = 3, value: str = "flux") -> Dat
 
 def coarse_grained(lc: DataFrame, scale: int) -> DataFrame:
     """(series_id, block, flux): means of ``scale`` points in a row; a last part of a block is left out."""
-    rows = clean(lc).withColumn("block", F.floor((F.row_number().over(IN_TIME) - 1) / scale))
+    rows = clean(lc).withColumn("block", F.floor((F.row_number().over(in_time()) - 1) / scale))
     return rows.groupBy("series_id", "block").agg(F.avg("flux").alias("flux"), F.count("*").alias("n")).where(F.col("n") == scale).drop("n")

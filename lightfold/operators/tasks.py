@@ -84,7 +84,7 @@ def wide(results: DataFrame, classifiers: list[str], classes: list[str], by: str
 def without_empty_columns(df: DataFrame, keep: list[str]) -> DataFrame:
     """Less the columns that are null or NaN throughout."""
     others = [c for c in df.columns if c not in keep]
-    counts = df.agg(*(F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in others)).first()
+    counts = df.agg(*(F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in others)).first()
     return df.select(*keep, *(c for c in others if counts[c]))
 
 

@@ -66,11 +66,11 @@ pend AS (SELECT c.priority, k.classifier FROM cand c CROSS JOIN cls k WHERE NOT
 rs AS (SELECT l_orderkey AS priority, {_CASE} AS classifier, list_extract({CLASSES!r}, CAST(l_partkey % 8 + 1 AS INTEGER)) AS class, max(l_discount * 10) AS prob FROM lineitem WHERE l_linenumber <= 5 GROUP BY 1, 2, 3)"""
 _SHARES = """WITH g AS (SELECT user_id AS priority, 'c' || (event_id % 4) AS classifier, event_type AS class, count(*) AS m FROM events GROUP BY 1, 2, 3),
 sh AS (SELECT priority, classifier, class, m / sum(m) OVER (PARTITION BY priority, classifier) AS prob FROM g)"""
-_CAND = "priority, starid, round(tmag, 2) + 0.0 AS tmag, lightcurve, round(variance, 0) + 0.0 AS variance, round(rms_hour, 4) + 0.0 AS rms_hour, round(ptp, 4) + 0.0 AS ptp"
+_CAND = "priority, starid, round(tmag, 2) + 0.0 AS tmag, lightcurve, round(sqrt(variance), 4) + 0.0 AS scatter, round(rms_hour, 7) + 0.0 AS rms_hour, round(ptp, 4) + 0.0 AS ptp"
 
 
 def _candidates(df: DataFrame) -> DataFrame:
-    return df.select("priority", "starid", rounded(F.col("tmag"), 2).alias("tmag"), "lightcurve", rounded(F.col("variance"), 0).alias("variance"), *(rounded(F.col(c), 4).alias(c) for c in ("rms_hour", "ptp")))
+    return df.select("priority", "starid", rounded(F.col("tmag"), 2).alias("tmag"), "lightcurve", rounded(F.sqrt("variance"), 4).alias("scatter"), rounded(F.col("rms_hour"), 7).alias("rms_hour"), rounded(F.col("ptp"), 4).alias("ptp"))
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
