@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import learning_plans, series_plans, spectral_plans, task_plans  # noqa: F401  they register their queries
+from .plans import feature_plans, learning_plans, series_plans, spectral_plans, task_plans  # noqa: F401  they register their queries
 from .plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
