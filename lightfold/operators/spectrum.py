@@ -103,7 +103,7 @@ def frequency_table(spectrum: DataFrame, peaks: int = 3, harmonics: int = 1) ->
     values at their multiples; a multiple beyond the grid has nulls. Prewhitening is in ``prewhiten``."""
     ranked = spectrum.withColumn("num", F.row_number().over(by_series().orderBy(F.desc("amplitude"), "k"))).where(F.col("num") <= peaks)
     wanted = ranked.select("series_id", "num", F.col("k").alias("base"), F.explode(F.sequence(F.lit(0), F.lit(harmonics))).alias("harmonic")).withColumn("k", F.col("base") * (F.col("harmonic") + 1))
-    values = spectrum.select("series_id", "k", "frequency", "amplitude", F.atan2("beta", "alpha").alias("phase"), "alpha", "beta")
+    values = spectrum.select("series_id", "k", "frequency", F.sqrt(F.col("alpha") ** 2 + F.col("beta") ** 2).alias("amplitude"), F.atan2("beta", "alpha").alias("phase"), "alpha", "beta")
     return wanted.join(values, ["series_id", "k"], "left").select("series_id", "num", "harmonic", "frequency", "amplitude", "phase", "alpha", "beta")
 
 
