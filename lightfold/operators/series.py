@@ -220,3 +220,46 @@ def coarse_grained(lc: DataFrame, scale: int) -> DataFrame:
     """(series_id, block, flux): means of ``scale`` points in a row; a last part of a block is left out."""
     rows = clean(lc).withColumn("block", F.floor((F.row_number().over(in_time()) - 1) / scale))
     return rows.groupBy("series_id", "block").agg(F.avg("flux").alias("flux"), F.count("*").alias("n")).where(F.col("n") == scale).drop("n")
+
+
+def binned(lc: DataFrame, bins: int, value: str = "flux") -> DataFrame:
+    """(series_id, bin, n, mean, median, least, most) of ``bins`` equal steps of each series' time, the last closed on the right."""
+    base = clean(lc).withColumns({"t0": F.min("t").over(by_series()), "t1": F.max("t").over(by_series())})
+    b = F.coalesce(F.least(F.floor(F.try_divide((F.col("t") - F.col("t0")) * bins, F.col("t1") - F.col("t0"))), F.lit(bins - 1)), F.lit(0)).cast("int")
+    v = F.col(value)
+    return base.withColumn("bin", b).groupBy("series_id", "bin").agg(F.count("*").alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.min(v).alias("least"), F.max(v).alias("most"))
+
+
+def interpolated(lc: DataFrame, count: int) -> DataFrame:
+    """(series_id, k, flux): the series at ``count`` + 1 even times from first to last, linear between neighbours."""
+    base = clean(lc)
+    edges = base.groupBy("series_id").agg(F.min("t").alias("t0"), F.max("t").alias("t1")).select("series_id", "t0", "t1", F.explode(F.sequence(F.lit(0), F.lit(count))).alias("k"))
+    wanted = edges.select("series_id", "k", (F.col("t0") + (F.col("t1") - F.col("t0")) * F.col("k") / count).alias("t"), F.lit(None).cast("double").alias("flux"))
+    both = base.select("series_id", F.lit(None).cast("int").alias("k"), "t", "flux").unionByName(wanted)
+    order = by_series().orderBy("t", F.col("k").asc_nulls_first())
+    known = F.when(F.col("k").isNull(), F.struct("t", "flux"))
+    before, after = F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.first(known, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    at = both.withColumns({"a": before, "b": after}).where(F.col("k").isNotNull())
+    share = F.coalesce(F.try_divide(F.col("t") - F.col("a.t"), F.col("b.t") - F.col("a.t")), F.lit(0.0))
+    return at.select("series_id", "k", F.coalesce(F.col("a.flux") + (F.col("b.flux") - F.col("a.flux")) * share, F.col("a.flux"), F.col("b.flux")).alias("flux"))
+
+
+def moving_percentile(lc: DataFrame, width: int = 11, q: float = 0.95, late: float = 0.98) -> DataFrame:
+    """(series_id, place, level): the percentile of ``width`` points about each point, ``late`` in the last fifth; frames
+    are shifted at the ends, so that all have the same size."""
+    rows = clean(lc).withColumns({"place": F.row_number().over(in_time()), "n": F.count("*").over(by_series())})
+    values = rows.groupBy("series_id", "n").agg(F.sort_array(F.collect_list(F.struct("place", "flux"))).alias("v"))  # one series
+    each = values.select("series_id", "n", "v", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("place"))
+    first = F.greatest(F.lit(1), F.least(F.col("place") - width // 2, F.col("n").cast("int") - width + 1))
+    frame = F.array_sort(F.transform(F.slice("v", first, F.lit(width)), lambda x: x["flux"]))
+    rank = (F.size("f") - 1) * F.when(F.col("place") > 0.8 * F.col("n"), late).otherwise(q)
+    low = F.element_at("f", F.floor(rank).cast("int") + 1)
+    high = F.element_at("f", F.ceil(rank).cast("int") + 1)
+    return each.withColumn("f", frame).select("series_id", "place", (low + (high - low) * (rank - F.floor(rank))).alias("level"))
+
+
+def extremes(lc: DataFrame, count: int = 30) -> DataFrame:
+    """Medians of the ``count`` highest and lowest points, and of the last ones in time."""
+    w = {"down": F.row_number().over(by_series().orderBy(F.desc("flux"), "t")), "up": F.row_number().over(by_series().orderBy("flux", "t")), "back": F.row_number().over(by_series().orderBy(F.desc("t")))}
+    own = clean(lc).withColumns(w).groupBy("series_id")
+    return own.agg(*(F.median(F.when(F.col(c) <= count, F.col("flux"))).alias(n) for c, n in (("down", "top"), ("up", "bottom"), ("back", "latest"))))

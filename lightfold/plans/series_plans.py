@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import quality as q
 from ..operators import series as s
-from .registry import LC, lightcurve, query, tidy
+from .registry import LC, lightcurve, query, rounded, tidy
 
 PERIOD = 2.5
 
@@ -203,3 +203,37 @@ def knn_entropy_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT series_id, block, round(avg(flux), 6) + 0.0 AS flux FROM n GROUP BY 1, 2 HAVING count(*) = 3""")
 def coarse_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(s.coarse_grained(lightcurve(spark, sf_dir), 3))
+
+
+@query(LC + """, m AS (SELECT *, min(t) OVER w AS t0, max(t) OVER w AS t1 FROM lc WINDOW w AS (PARTITION BY series_id)),
+b AS (SELECT series_id, CAST(least(floor((t - t0) * 12 / (t1 - t0)), 11) AS INTEGER) AS bin, flux FROM m)
+SELECT series_id, bin, count(*) AS n, round(avg(flux), 7) + 0.0 AS mean, round(median(flux), 6) + 0.0 AS median, min(flux) AS least, max(flux) AS most FROM b GROUP BY 1, 2""")
+def binned_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = s.binned(lightcurve(spark, sf_dir), 12)
+    return b.select("series_id", "bin", "n", rounded(F.col("mean"), 7).alias("mean"), rounded(F.col("median")).alias("median"), "least", "most")
+
+
+@query(LC + """, g AS (SELECT series_id, min(t) AS t0, max(t) AS t1 FROM lc GROUP BY 1), w AS (SELECT series_id, CAST(k.range AS INTEGER) AS k, t0 + (t1 - t0) * k.range / 40 AS t FROM g CROSS JOIN range(41) k),
+n AS (SELECT w.series_id, w.k, w.t, max(lc.t) FILTER (lc.t <= w.t) AS ta, min(lc.t) FILTER (lc.t >= w.t) AS tb FROM w JOIN lc USING (series_id) GROUP BY 1, 2, 3)
+SELECT n.series_id, k, round(coalesce(a.flux + (b.flux - a.flux) * CASE WHEN tb > ta THEN (n.t - ta) / (tb - ta) ELSE 0 END, a.flux, b.flux), 5) + 0.0 AS flux
+FROM n LEFT JOIN lc a ON a.series_id = n.series_id AND a.t = ta LEFT JOIN lc b ON b.series_id = n.series_id AND b.t = tb""")
+def linear_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(s.interpolated(lightcurve(spark, sf_dir), 40), 5)
+
+
+@query(LC + """, r AS (SELECT series_id, flux, row_number() OVER (PARTITION BY series_id ORDER BY t) AS place, count(*) OVER (PARTITION BY series_id) AS n FROM lc),
+f AS (SELECT a.series_id, a.place, a.n, b.flux FROM r a JOIN r b ON a.series_id = b.series_id AND b.place BETWEEN greatest(1, least(a.place - 5, a.n - 10)) AND greatest(1, least(a.place - 5, a.n - 10)) + 10)
+SELECT series_id, CAST(place AS INTEGER) AS place, round(CASE WHEN place > 0.8e0 * any_value(n) THEN quantile_cont(flux, 0.98) ELSE quantile_cont(flux, 0.95) END, 6) + 0.0 AS level FROM f GROUP BY series_id, place""")
+def moving_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(s.moving_percentile(lightcurve(spark, sf_dir)))
+
+
+@query(LC + """, r AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY flux DESC, t) AS down, row_number() OVER (PARTITION BY series_id ORDER BY flux, t) AS up, row_number() OVER (PARTITION BY series_id ORDER BY t DESC) AS back FROM lc)
+SELECT series_id, round(median(flux) FILTER (down <= 30), 6) + 0.0 AS top, round(median(flux) FILTER (up <= 30), 6) + 0.0 AS bottom, round(median(flux) FILTER (back <= 30), 6) + 0.0 AS latest FROM r GROUP BY 1""")
+def extreme_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(s.extremes(lightcurve(spark, sf_dir)))
+
+
+@query("SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lightcurve(spark, sf_dir).groupBy("event_type", F.col("series_id").alias("user_id")).agg(F.count("*").alias("n")).where("n > 1")
