@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tasks import placed, ranged
+
 
 def confusion(pairs: DataFrame, classes: list[str]) -> DataFrame:
     """(truth, predicted, n, share) for all pairs of ``classes``; share is of the truth's row."""
@@ -36,13 +38,25 @@ def report(pairs: DataFrame, classes: list[str]) -> DataFrame:
 def roc(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(…, threshold, fpr, tpr) from (score, positive), a point for each distinct score, by falling threshold.
 
-    Scores are grouped first, so windows run over distinct scores. The curve starts at (0, 0) with a threshold of one more than the highest score.
+    Scores are grouped first. Without ``by``, running sums are taken within ranges of scores and the sums of the ranges
+    before are added, so that no task holds all scores. The curve starts at (0, 0) with a threshold of one more than the
+    highest score.
     """
     by = by or []
     positive = F.col("positive").cast("int")
     ties = scored.groupBy(*by, "score").agg(F.sum(positive).alias("p"), F.sum(1 - positive).alias("n"))
-    every, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    points = ties.select(*by, F.col("score").alias("threshold"), F.try_divide(F.sum("n").over(upto), F.sum("n").over(every)).alias("fpr"), F.try_divide(F.sum("p").over(upto), F.sum("p").over(every)).alias("tpr"))
+    if by:
+        every, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+        sums = ties.select(*by, "score", *(F.sum(c).over(upto).alias(c) for c in "pn"), *(F.sum(c).over(every).alias(f"all_{c}") for c in "pn"))
+    else:
+        parted = ties.withColumn("_part", -ranged(ties, "score"))
+        parts = parted.groupBy("_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+        before, every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        offsets = parts.select("_part", *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in "pn"), *(F.sum(f"_{c}").over(every).alias(f"all_{c}") for c in "pn"))  # a row for each range
+        upto = Window.partitionBy("_part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+        own = parted.select("_part", "score", *(F.sum(c).over(upto).alias(c) for c in "pn")).join(F.broadcast(offsets), "_part")
+        sums = own.select("score", *((F.col(c) + F.col(f"_{c}")).alias(c) for c in "pn"), "all_p", "all_n")
+    points = sums.select(*by, F.col("score").alias("threshold"), F.try_divide("n", "all_n").alias("fpr"), F.try_divide("p", "all_p").alias("tpr"))
     start = scored.groupBy(*by).agg((F.max("score") + 1).alias("threshold")).select(*by, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(start)
 
@@ -50,9 +64,13 @@ def roc(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def auc(curve: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Area under ``roc``'s curve, by trapezoids."""
     by = by or []
-    w = Window.partitionBy(*by).orderBy(F.desc("threshold"))
-    area = (F.col("fpr") - F.lag("fpr").over(w)) * (F.col("tpr") + F.lag("tpr").over(w)) / 2
-    return curve.withColumn("area", area).groupBy(*by).agg(F.sum("area").alias("auc"))
+    if by:
+        w = Window.partitionBy(*by).orderBy(F.desc("threshold"))
+        steps = curve.withColumns({"f0": F.lag("fpr").over(w), "t0": F.lag("tpr").over(w)})
+    else:
+        rows = placed(curve.withColumn("_order", -F.col("threshold")), "_order").select("place", "fpr", "tpr")
+        steps = rows.join(rows.select((F.col("place") + 1).alias("place"), F.col("fpr").alias("f0"), F.col("tpr").alias("t0")), "place")
+    return steps.withColumn("area", (F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2).groupBy(*by).agg(F.sum("area").alias("auc"))
 
 
 def best_threshold(curve: DataFrame, by: list[str] | None = None) -> DataFrame:

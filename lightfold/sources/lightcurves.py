@@ -8,9 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.tasks import placed
+
 TEXT_SUFFIXES = (".txt", ".noisy", ".sysnoise", ".clean")
 FITS_PATTERN = r".*\.fits(\.gz)?$"
 POINTS = "path string, targetid long, time double, flux double, flux_err double, quality long, centroid_col double, centroid_row double, cadenceno long"
@@ -29,7 +31,7 @@ def files(spark: SparkSession, folder: str, pattern: str = FITS_PATTERN, glob: s
     found = (read.option("pathGlobFilter", glob) if glob else read).load(folder).select("path")
     named = found.withColumn("name", F.element_at(F.split("path", "/"), -1))
     named = named if glob else named.where(F.col("name").rlike(pattern))
-    return named.withColumn("priority", F.row_number().over(Window.orderBy("path")).cast("long")).select("priority", "path", "name")  # names alone
+    return placed(named, "path").select((F.col("place") + 1).alias("priority"), "path", "name")
 
 
 def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -50,7 +50,7 @@ def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: lis
         "starid": F.coalesce("starid", lb.star_id(name)),
         "lightcurve": F.coalesce("lightcurve", lb.star_path(F.element_at(labels, 1), name)),
     })
-    numbered = tasks._placed(made.withColumn("_order", name), "_order").withColumn("priority", F.col("place") + 1).drop("place", "_order")
+    numbered = tasks.placed(made.withColumn("_order", name), "_order").withColumn("priority", F.col("place") + 1).drop("place", "_order")
     return Store.create(spark, path, numbered, classes=tuple(classes))
 
 
