@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textops import BYTE, SPACE, U, flat, mix, planes, prefix_hash, slices, span_hash, spans, unplanes
+from .textops import BYTE, SPACE, U, flat, mix, planes, prefix_hash, slices, span_hash, spans, trim, unplanes
 
 GEAR = (BYTE >> U(32)).astype(np.uint32)
 WINDOW = 16
 #: Chunks that a map batch gathers before it sends them on.
-FLUSH = 1_500_000
+FLUSH = 500_000
 
 
 def chunked(data: np.ndarray, at: np.ndarray, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,6 +96,7 @@ def _chunks(mean: int, buckets: int):
                 if held > FLUSH:
                     yield from flush()
         yield from flush()
+        trim()
 
     return run
 
@@ -165,6 +166,7 @@ def _rebuilt(mean: int, min_words: int, text: int, found: int):
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             columns[found] = pa.array(cuts, kind)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed)], [*batch.schema.names, "removed_words"])
+        trim()
 
     return run
 

@@ -34,13 +34,13 @@ from pyspark.sql import types as T
 
 from .components import connected_components
 from .scratch import written
-from .textops import U, mix, planes, shingle_sets, unplanes
+from .textops import U, mix, planes, shingle_sets, trim, unplanes
 
 _PACKED = "bucket int, kind int, a binary, b binary"
 _EDGES = "kind int, a long, b long"
 KEY, NEAR, SAME, SIZE = 0, 1, 2, 3
 #: Keys that a map batch gathers before it sends them on.
-FLUSH = 1_500_000
+FLUSH = 500_000
 #: Set bits of a sketch by which two documents of a group are compared first.
 WORDS = 16
 
@@ -148,6 +148,7 @@ def _sketched(k: int, bands: Bands, buckets: int):
                 if held > FLUSH:
                     yield from flush()
         yield from flush()
+        trim()
 
     return run
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import drop, written
-from .textops import LOWER, SPACE, U, flat, prefix_hash, slices, span_hash, spans
+from .textops import LOWER, SPACE, U, flat, prefix_hash, slices, span_hash, spans, trim
 
 MARGINS = ("source", "lang", "topic")
 #: Beyond so many cells the fitting runs as DataFrame rounds instead of on the driver; results agree.
@@ -144,6 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         for b in batches:
             words, topic = weigh(b.column(at), topics)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words), pa.array(topic)], [*b.schema.names, "_tokens", "_topic"])
+        trim()
 
     weighed = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_tokens", T.LongType()), T.StructField("_topic", T.IntegerType())]))
     keys = [F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col("_topic").alias("topic")]

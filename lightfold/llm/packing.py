@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import Memory, byte_level
 from .scratch import written
-from .textops import flat, slices
+from .textops import flat, slices, trim
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -87,6 +87,7 @@ def _cut(path: str, size: int, end: int):
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        trim()
 
     return run
 

@@ -12,7 +12,7 @@ import numpy as np
 
 from .textops import U, prefix_hash, span_hash, spans
 
-ROOM = 3_000_000
+ROOM = 1_000_000
 LETTER, NUMBER, BLANK, OTHER = 1, 2, 3, 0
 _classes: list[np.ndarray] = []
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textops import LOWER, U, flat, mix, prefix_hash, slices, span_hash, spans
+from .textops import LOWER, U, flat, mix, prefix_hash, slices, span_hash, spans, trim
 
 LETTERS = np.zeros(256, bool)
 LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
@@ -77,7 +77,7 @@ def _raw(bias: float, weight: np.ndarray, factor: np.ndarray, place: np.ndarray,
     return bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
-def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = 8, steps: int = 900, rate: float = 0.15, decay: float = 1e-5, least: int = 4, telling: float = 15.0, seed: int = 7) -> Machine:
+def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = 8, steps: int = 2500, rate: float = 0.15, decay: float = 1e-5, least: int = 4, telling: float = 15.0, seed: int = 7) -> Machine:
     """Fit by AdaGrad over mini-batches of 256, ``steps`` at least. Terms in under ``least`` texts, or whose presence tells little of the
     label (likelihood ratio under ``telling``), are left out. Without both labels the score is the share of 1."""
     n, y = len(labels), labels.astype(np.float64)
@@ -86,23 +86,34 @@ def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: i
     empty = Machine(bias, np.zeros(0, np.uint32), np.zeros(0), np.zeros((0, factors)))
     if not n or y.min() == y.max() or not len(flat_terms):
         return empty
-    own = np.repeat(np.arange(n), np.diff(ends, prepend=0))
-    known, place = np.unique(flat_terms, return_inverse=True)
-    one, total = np.bincount(place, y[own], len(known)), np.bincount(place, minlength=len(known)).astype(float)
+    own_of = np.repeat(y > 0, np.diff(ends, prepend=0))
+    known, total = np.unique(flat_terms, return_counts=True)
+    marked, times = np.unique(flat_terms[own_of], return_counts=True)
+    del own_of
+    one = np.zeros(len(known))
+    one[np.searchsorted(known, marked)] = times
 
     def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / b), 0)
 
+    common = total >= least
+    known, total, one = known[common], total[common].astype(float), one[common]
     p = y.mean()
     ratio = 2 * (part(one, total * p) + part(total - one, total * (1 - p)))
     rest, rest_one = n - total, y.sum() - one
     ratio += 2 * (part(rest_one, np.maximum(rest, 1e-9) * p) + part(rest - rest_one, np.maximum(rest, 1e-9) * (1 - p)))
-    keep = (total >= least) & (ratio >= telling)
-    if not keep.any():
+    known = known[ratio >= telling]
+    if not len(known):
         return empty
-    to = np.cumsum(keep) - 1
-    hit = keep[place]
-    own, place, known = own[hit], to[place[hit]], known[keep]
+    hits, places = [], []
+    for at in range(0, len(flat_terms), 1 << 20):
+        some = flat_terms[at : at + (1 << 20)]
+        place = np.minimum(np.searchsorted(known, some), len(known) - 1)
+        hit = np.flatnonzero(known[place] == some)
+        hits.append(hit + at)
+        places.append(place[hit])
+    place = np.concatenate(places)
+    own = np.searchsorted(ends, np.concatenate(hits), "right")
     border = np.searchsorted(own, np.arange(n + 1))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(known)), rng.normal(0, 0.02, (len(known), factors))
@@ -158,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = own.join(F.broadcast(chosen), F.col("_own") == F.col("_id")).select("_label", "_text")
     got = rows.mapInArrow(run, "label int, terms array<int>").toArrow().combine_chunks()
     lists = got.column("terms").combine_chunks()
-    flat_terms = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
+    flat_terms = lists.flatten().to_numpy().view(np.uint32)
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) if len(lists) else np.zeros(0, np.int64)
     return fit(flat_terms, ends, got.column("label").to_numpy().astype(np.int64), **options)
 
@@ -176,5 +187,6 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", threshold:
         for b in batches:
             s = held.value.scores(*terms(b.column(at)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*b.schema.names, "score", "predicted"])
+        trim()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
