@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
-from .textops import LOWER, SPACE, U, flat, prefix_hash, slices, span_hash, spans
+from .textops import LOWER, SPACE, U, flat, prefix_hash, slices, span_hash, spans, trim
 from .toxicity import remainder
 
 ORDER = 5
 NODES = 4_000_000
 COMMON = 1_000_000
 #: Distinct entries that a map task gathers before it sends them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 END_WORD = 0x7E5D_0000_0000_0E0D
 
 
@@ -151,7 +151,7 @@ def trie(gram: np.ndarray, count: np.ndarray) -> Trie:
 def _prepared(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices of documents: (first, after, word hashes, their borders, grams, their borders)."""
     data, at = flat(texts)
-    for i, j in slices(at, 4 << 20):
+    for i, j in slices(at):
         part, own = data[at[i] : at[j]], at[i : j + 1] - at[i]
         text, border, starts, ends, ranges = canonical(part, own)
         words = span_hash(prefix_hash(text), starts, ends)
@@ -190,6 +190,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for kind in (0, 1):
         yield from rows(kind, held[kind])
     yield from rows(2, (np.zeros(1, U), np.array([docs])))
+    trim()
 
 
 def _scored(model, common):
@@ -228,6 +229,7 @@ def _scored(model, common):
             pairs = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)], ["key", "times"])
             lists = pa.ListArray.from_arrays(offsets, pairs)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens), pa.array(hits), pa.array(part), pa.array(score), lists], ["doc_id", "held_out", "words", "hits", "part", "score", "rare"])
+        trim()
 
     return run
 
