@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import written
-from .textops import U, flat, planes, slices, unplanes, words
+from .textops import U, flat, planes, slices, trim, unplanes, words
 
 #: Postings and documents of a shard, at most (a longer single document makes a larger one).
 POSTINGS, DOCUMENTS = 1_500_000, 8192
@@ -68,6 +68,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield made()
     if held:
         yield made()
+    trim()
 
 
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,8 +213,8 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_co
 
     A document's score is the sum over the query's distinct terms of idf * tf (k1 + 1) / (tf + k1 (1 - b +
     b words / mean words)), idf = ln(1 + (N - n + 0.5) / (n + 0.5)). With ``query_terms`` a query is
-    reduced to that many terms of its whole text, those of greatest times * idf (ties: by hash),
-    as is usual for queries that are documents. Only documents with a term of the query are
+    reduced to that many terms of its whole text, those that would add most to its own score (idf times
+    (k1 + 1) / (times + k1); ties: by hash), as is usual for queries that are documents. Only documents with a term of the query are
     returned. Queries with a null id, no text or no indexed term return none; queries that share
     an id are one query of all their terms; documents that share an id are returned each.
     """
@@ -231,7 +232,8 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_co
     weight = F.log(1 + (F.lit(float(documents)) - F.col("held") + 0.5) / (F.col("held") + 0.5))
     known = known.withColumn("weight", weight)
     if query_terms:
-        order = Window.partitionBy("query").orderBy(F.desc(F.col("times") * F.col("weight")), "term")  # a document's own terms
+        gain = F.col("weight") * F.col("times") * (k1 + 1) / (F.col("times") + k1)
+        order = Window.partitionBy("query").orderBy(F.desc(gain), "term")  # a document's own terms
         known = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= query_terms)
     chosen = written(known.select(bucket, "query", "term", "weight"), "asked")
     routed = terms.cogroup(chosen.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_routed, "shard long, query long, term long, weight double")
