@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import _INVERSE, _ODD, U, _grown, mix
+from .textops import _INVERSE, _ODD, U, _grown, mix, trim
 
 _LOW = U(0xFFFFFFFF)
 
@@ -84,30 +84,32 @@ def _fingerprinted(k: int, w: int):
                 kinds = (pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())
                 names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        trim()
 
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 24, w: int = 77, range_bytes: int = 12 << 20) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 24, w: int = 77, range_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for each row.
 
     The next document is the next by id (equal ids: by text, so repeated rows follow each other), the
     first after the last. Null texts are empty; rows with a null id have no place in the order and
     are left out; extra columns are ignored; an empty table gives an empty one.
 
-    Ids are counted in 4096 equal steps, from which ranges of about ``range_bytes`` of text are made;
+    Ids are counted in equal steps (four for each range, 4096 to 1,000,000 of them), from which ranges of about ``range_bytes`` of text are made;
     each range is sorted and read in order by one task, with a copy of the first row of the next
     range. Texts are shuffled once. Clumped ids make ranges longer, which sorts on disk, never wrong.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     out = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    low, high = docs.agg(F.min("id"), F.max("id")).first()
+    low, high, size = docs.agg(F.min("id"), F.max("id"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()
     if low is None:
         return spark.createDataFrame([], out)
-    width = (high - low) // 4096 + 1
+    steps = min(max(4096, 4 * size // range_bytes), 1_000_000)
+    width = (high - low) // steps + 1
     step = ((F.col("id") - F.lit(low)) / F.lit(width)).cast("int")
-    sizes = docs.groupBy(step.alias("step")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.min("id"), F.max("id")).collect()  # at most 4097 rows
+    sizes = docs.groupBy(step.alias("step")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.min("id"), F.max("id")).collect()  # a row for each step
     of, firsts, total = {}, [], range_bytes
     for s, n, first, _ in sorted(sizes):
         if total >= range_bytes:
@@ -117,7 +119,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         total += n
     ranges = F.element_at(F.lit([of.get(s, 0) for s in range(max(of) + 1)]), step + 1)
     heads = [(first, (r - 1) % len(firsts)) for r, first in enumerate(firsts)]
-    ahead = spark.createDataFrame(heads, "head long, before int")  # bounded: at most 4097 rows
+    ahead = spark.createDataFrame(heads, "head long, before int")  # bounded: a row for each range
     own = F.struct(ranges.alias("r"), F.lit(0).alias("ahead"))
     both = docs.join(F.broadcast(ahead), F.col("id") == F.col("head"), "left")
     both = both.select("id", "text", F.explode(F.when(F.col("head").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("before").alias("r"), F.lit(1).alias("ahead"))))).alias("at"))
