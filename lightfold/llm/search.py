@@ -2,9 +2,10 @@
 
 The index is a table of shards of some thousand documents, each with its terms' postings in document
 order. Statistics are global: document counts of terms are summed over all shards before any
-scoring, so a score does not depend on the shard. Terms of queries are sent only to shards that hold
-them; there, each query skips what block maxima rule out. The shards' lists of the best are merged,
-which is exact, as every shard returns its own best k.
+scoring, so a score does not depend on the shard. Queries are broadcast in batches; at a shard, a query
+of few terms skips what block maxima rule out, and one of many adds up all postings of its terms, both
+in the same order. The shards' lists of the best are merged, which is exact, as every shard returns its
+own best k.
 
 A term that all documents hold is one entry for each shard, so no term's postings meet in a task.
 """
@@ -14,6 +15,8 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,10 @@ from .textops import U, flat, planes, slices, trim, unplanes, words
 #: Postings and documents of a shard, at most (a longer single document makes a larger one).
 POSTINGS, DOCUMENTS = 1_500_000, 8192
 BLOCK = 64
+#: Up to so many terms a query is searched by block-max WAND; with more, which bounds hardly prune, all postings are added up.
+FEW = 16
+#: (query, term) pairs of a batch of queries, which is broadcast to all shards.
+ASKED = 2_000_000
 _INDEX = "shard long, documents long, words long, ids binary, lengths binary, terms binary, held binary, places binary, times binary"
 
 
@@ -105,21 +112,24 @@ def _frequencies(index: pa.Table, asked: pa.Table) -> pa.Table:
     return pa.table([asked.column("query"), asked.column("term"), asked.column("times"), pa.array(total[back] if len(u) else total)], ["query", "term", "times", "held"])
 
 
-def _routed(index: pa.Table, asked: pa.Table) -> pa.Table:
-    """Each asked (query, term, weight) of a bucket for each shard that holds the term."""
-    terms = asked.column("term").to_numpy().view(U)
-    order = np.argsort(terms, kind="stable")
-    ordered = terms[order]
-    shards, rows = [], []
-    for s, t in zip(index.column("shard").to_pylist(), index.column("terms").to_pylist(), strict=True):
-        t = unplanes(t)
-        if len(t):
-            at = np.minimum(np.searchsorted(t, ordered), len(t) - 1)
-            hit = order[t[at] == ordered]
-            shards.append(np.full(len(hit), s, np.int64))
-            rows.append(hit)
-    take = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    return pa.table([np.concatenate(shards) if shards else take, *(asked.column(c).to_numpy()[take] for c in ("query", "term", "weight"))], ["shard", "query", "term", "weight"])
+@dataclass
+class Asked:
+    """Queries of a batch: their ids, each one's range of terms as places in ``terms``, in order, and the terms' weights."""
+
+    ids: np.ndarray
+    ranges: np.ndarray
+    places: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+
+
+def _batch(asked: pa.Table) -> Asked:
+    query, term, weight = asked.column("query").to_numpy(), asked.column("term").to_numpy().view(U), asked.column("weight").to_numpy()
+    order = np.lexsort((term, query))
+    query, term, weight = query[order], term[order], weight[order]
+    terms, first, back = np.unique(term, return_index=True, return_inverse=True)
+    cuts = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(query) else np.zeros(1, np.int64)
+    return Asked(query[cuts[:-1]], cuts, back.astype(np.int32), terms, weight[first])
 
 
 def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]], k: int) -> list[tuple[float, int]]:
@@ -169,34 +179,70 @@ def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]
     return [(s, -d) for s, d in sorted(best, reverse=True)]
 
 
-def _found(k: int, mean: float, k1: float, b: float):
-    def run(index: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
-        if index.num_rows and asked.num_rows:
-            row = {c: index.column(c)[0].as_py() for c in ("ids", "lengths", "terms", "held", "places", "times")}
-            ids, lengths = unplanes(row["ids"]).view(np.int64), unplanes(row["lengths"]).astype(float)
-            terms, held = unplanes(row["terms"]), unplanes(row["held"], 4).astype(np.int64)
-            first = np.r_[0, np.cumsum(held)]
-            places, times = unplanes(row["places"], 4).astype(np.int64), unplanes(row["times"], 4).astype(float)
-            share = times * (k1 + 1) / (times + k1 * (1 - b + b * lengths[places] / mean))
-            kept: dict[int, tuple] = {}
-
-            def of(t: int, weight: float) -> tuple:
-                if t not in kept:
-                    p = int(np.searchsorted(terms, U(t)))
-                    own = slice(first[p], first[p + 1])
-                    adds = weight * share[own]
-                    kept[t] = (places[own].tolist(), adds.tolist(), np.maximum.reduceat(adds, np.arange(0, len(adds), BLOCK)).tolist(), float(adds.max()))
-                return kept[t]
-
-            query, term, weight = asked.column("query").to_numpy(), asked.column("term").to_numpy().view(U), asked.column("weight").to_numpy()
-            order = np.lexsort((term, query))
-            query, term, weight = query[order], term[order].tolist(), weight[order].tolist()
-            cuts = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True])
-            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                lists = [of(term[n], weight[n]) for n in range(x, y)]
-                out += [(int(query[x]), int(ids[d]), s) for s, d in block_max_wand(lists, k)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "doc_id", "score"])
+def best_of_all(lists: list[tuple[np.ndarray | None, np.ndarray]], documents: int, k: int) -> list[tuple[float, int]]:
+    """As ``block_max_wand``, by adding up all postings; lists: for each term the places, or None if its scores are one for each document, and the scores."""
+    total = np.zeros(documents)
+    for places, adds in lists:
+        if places is None:
+            total += adds
+        else:
+            total[places] += adds
+    at = np.flatnonzero(total > 0)
+    if len(at) > k:
+        at = at[total[at] >= np.partition(total[at], len(at) - k)[len(at) - k]]
+    return [(float(total[d]), int(d)) for d in at[np.argsort(-total[at], kind="stable")][:k]]
+
+
+def _found(asked, k: int, mean: float, k1: float, b: float):
+    def best(row: dict, own: Asked) -> Iterator[tuple[int, int, float]]:
+        ids, lengths = unplanes(row["ids"]).view(np.int64), unplanes(row["lengths"]).astype(float)
+        terms, held = unplanes(row["terms"]), unplanes(row["held"], 4).astype(np.int64)
+        first = np.r_[0, np.cumsum(held)]
+        places, times = unplanes(row["places"], 4).astype(np.int64), unplanes(row["times"], 4).astype(float)
+        share = times * (k1 + 1) / (times + k1 * (1 - b + b * lengths[places] / mean))
+        n = np.minimum(np.searchsorted(terms, own.terms), len(terms) - 1)
+        hit = np.flatnonzero(terms[n] == own.terms)
+        where = np.full(len(own.terms), -1, np.int64)
+        where[hit] = np.arange(len(hit))
+        weights = own.weights[hit].tolist()
+        spans = list(zip(first[n[hit]].tolist(), first[n[hit] + 1].tolist(), strict=True))
+        kept: dict[int, tuple] = {}
+        listed: dict[int, tuple] = {}
+
+        def of(t: int) -> tuple:
+            if t not in kept:
+                x, y = spans[t]
+                adds = weights[t] * share[x:y]
+                if (y - x) * 4 > len(ids):  # faster as one number for each document
+                    dense = np.zeros(len(ids))
+                    dense[places[x:y]] = adds
+                    kept[t] = (None, dense)
+                else:
+                    kept[t] = (places[x:y], adds)
+            return kept[t]
+
+        def blocks(t: int) -> tuple:
+            if t not in listed:
+                x, y = spans[t]
+                adds = weights[t] * share[x:y]
+                listed[t] = (places[x:y].tolist(), adds.tolist(), np.maximum.reduceat(adds, np.arange(0, len(adds), BLOCK)).tolist(), float(adds.max()))
+            return listed[t]
+
+        for q, x, y in zip(own.ids.tolist(), own.ranges[:-1].tolist(), own.ranges[1:].tolist(), strict=True):
+            at = where[own.places[x:y]]
+            at = at[at >= 0].tolist()
+            got = block_max_wand([blocks(t) for t in at], k) if len(at) <= FEW else best_of_all([of(t) for t in at], len(ids), k)
+            for s, d in got:
+                yield q, int(ids[d]), s
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("ids", "lengths", "terms", "held", "places", "times")}
+                out = list(best(row, asked.value)) if row["terms"] else []
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "doc_id", "score"])
+        trim()
 
     return run
 
@@ -235,8 +281,14 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_co
         gain = F.col("weight") * F.col("times") * (k1 + 1) / (F.col("times") + k1)
         order = Window.partitionBy("query").orderBy(F.desc(gain), "term")  # a document's own terms
         known = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= query_terms)
-    chosen = written(known.select(bucket, "query", "term", "weight"), "asked")
-    routed = terms.cogroup(chosen.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_routed, "shard long, query long, term long, weight double")
-    hits = index.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(_found(k, total / documents, k1, b), "query_id long, doc_id long, score double")
+    chosen = written(known.select("query", "term", "weight"), "asked")
+    parts = int(chosen.count() / ASKED) + 1
+    part = F.pmod(F.xxhash64("query"), F.lit(parts))
+    hits = []
+    for n in range(parts):
+        asked = spark.sparkContext.broadcast(_batch(chosen.where(part == n).toArrow()))  # ASKED rows on average
+        hits.append(written(index.mapInArrow(_found(asked, k, total / documents, k1, b), "query_id long, doc_id long, score double"), "hits"))
+        asked.destroy()
+    hits = reduce(DataFrame.union, hits)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

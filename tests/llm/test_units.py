@@ -455,6 +455,43 @@ def test_search_is_exact(spark, monkeypatch):
     assert search.search(index, _empty(spark)).count() == 0
 
 
+def test_registered_search_takes_all_terms(spark):
+    from lightfold.llm.queries import op2_topk_search
+
+    sf = "/root/testdata/sf0.001"
+    bags = {i: Counter(_words(t)) for i, t in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    n, df = len(bags), Counter(w for b in bags.values() for w in b)
+    size = {i: sum(b.values()) for i, b in bags.items()}
+    mean = sum(size.values()) / n
+    got = defaultdict(list)
+    for r in op2_topk_search(spark, sf).collect():
+        got[r["query_id"]].append((r["rank"], r["doc_id"], r["score"]))
+    asked = [i for i, b in bags.items() if i % 100 == 0 and b]
+    assert any(len(bags[q]) > 16 for q in asked)
+    for q in asked:
+        idf = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) for w in bags[q]}
+        scores = {i: sum(idf[w] * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * size[i] / mean)) for w in idf if w in b) for i, b in bags.items()}
+        top = sorted(-s for s in scores.values() if s > 0)[:10]
+        assert [s for _, _, s in sorted(got[q])] == pytest.approx([-s for s in top])
+        assert all(s == pytest.approx(scores[d]) for _, d, s in got[q])
+
+
+def test_best_of_all_against_wand():
+    from lightfold.llm.search import BLOCK, best_of_all, block_max_wand
+
+    rng = np.random.default_rng(4)
+    for k in (1, 9, 700):
+        lists, plain = [], []
+        for dense in (False, True, False, True):
+            places = np.flatnonzero(rng.random(600) < 0.4)
+            adds = rng.integers(1, 5, len(places)).astype(float)
+            whole = np.zeros(600)
+            whole[places] = adds
+            lists.append((None, whole) if dense else (places, adds))
+            plain.append((places.tolist(), adds.tolist(), [float(adds[i : i + BLOCK].max()) for i in range(0, len(adds), BLOCK)], float(adds.max())))
+        assert best_of_all(lists, 600, k) == block_max_wand(plain, k)
+
+
 def test_wand_against_all():
     from lightfold.llm.search import BLOCK, block_max_wand
 
