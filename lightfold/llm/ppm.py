@@ -11,9 +11,11 @@ Since all that followed a context also followed its endings, what is left out at
 from the next longer context alone, so the trie is flattened to sorted arrays and whole batches are
 looked up at once, each distinct (context, byte) once.
 
-Counts cover all training texts. The trie sent to executors has at most ``NODES`` leaves: if there are
-more, those below a common count are left out (and reached by escapes); that is the model's size,
-as the order is.
+Counts cover all training texts. A trie of up to ``NODES`` leaves is sent to executors whole. If there are
+more, the grams stay in a table in parts that share the context's last ``LOW`` + 1 bytes: all contexts of
+that length or more are in a gram's part, and the shorter ones' counts, at most 256 ** (LOW + 1) of them, go to every part. The
+scores of the most frequent grams, up to ``NODES``, are then sent, and all others joined, so that
+the model is the same.
 
 Words are counted likewise. The ``COMMON`` most frequent words are looked up in a broadcast table, all
 others by a join on the word's hash.
@@ -35,7 +37,10 @@ from .toxicity import remainder
 
 ORDER = 5
 NODES = 4_000_000
+LOW = 1
 COMMON = 1_000_000
+#: Grams of a part of the table, on average.
+PART = 500_000
 #: Distinct entries that a map task gathers before it sends them on.
 FLUSH = 1_000_000
 END_WORD = 0x7E5D_0000_0000_0E0D
@@ -124,11 +129,15 @@ def _find(table: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == key
 
 
-def trie(gram: np.ndarray, count: np.ndarray) -> Trie:
-    """The trie of all orders from the counts of its longest entries."""
+def trie(gram: np.ndarray, count: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None) -> Trie:
+    """The trie of all orders from the counts of its longest entries; low: the entries of order ``LOW`` and their counts,
+    where ``gram`` is a part of the table."""
     order = np.argsort(gram)
     levels = [(gram[order], count[order].astype(np.int64))]
     for k in range(ORDER - 1, -1, -1):
+        if k == LOW and low is not None:
+            levels.insert(0, low)
+            continue
         key = levels[0][0] & U((1 << 8 * (k + 1)) - 1)
         u, back = np.unique(key, return_inverse=True)
         levels.insert(0, (u, np.bincount(back, levels[0][1], len(u)).astype(np.int64)))
@@ -193,8 +202,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
+class Left:
+    """Keys that documents of a batch left to look up: for each document, distinct ones and how often."""
+
+    def __init__(self, n: int):
+        self.keys, self.times, self.size = [np.zeros(0, U)], [np.zeros(0, np.int64)], np.zeros(n, np.int64)
+
+    def add(self, own: np.ndarray, keys: np.ndarray) -> None:
+        order = np.lexsort((keys, own))
+        own, keys = own[order], keys[order]
+        first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (keys[1:] != keys[:-1])]) if len(keys) else np.zeros(0, np.int64)
+        self.keys.append(keys[first])
+        self.times.append(np.diff(np.r_[first, len(keys)]))
+        self.size += np.bincount(own[first], minlength=len(self.size))
+
+    def lists(self) -> pa.ListArray:
+        offsets = pa.array(np.r_[0, np.cumsum(self.size)].astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(np.concatenate(self.keys).view(np.int64)), pa.array(np.concatenate(self.times))], ["key", "times"]))
+
+
 def _scored(model, common):
-    """(doc_id, held_out, text) to the trie's score, the common words' part of the base, and the words left to look up."""
+    """(doc_id, held_out, text) to the score of grams that ``model`` (a trie, or grams and their scores) has, the common
+    words' part of the base, and the words and grams left to look up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = model.value
@@ -203,10 +232,16 @@ def _scored(model, common):
             n = batch.num_rows
             score, part = np.zeros(n), np.zeros(n)
             tokens, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            rare_keys, rare_times, rare_size = [], [], np.zeros(n, np.int64)
+            rare, left = Left(n), Left(n)
             for i, j, words, ranges, g, edges in _prepared(batch.column(2)):
                 u, back = np.unique(g, return_inverse=True)
-                sums = np.r_[0, np.cumsum(tree.log10(u)[back])]
+                if isinstance(tree, Trie):
+                    logs = tree.log10(u)
+                else:
+                    at, hit = _find(tree[0], u)
+                    logs = np.where(hit, tree[1][at] if len(tree[1]) else 0, 0)
+                    left.add(np.repeat(np.arange(i, j), np.diff(edges))[~hit[back]], g[~hit[back]])
+                sums = np.r_[0, np.cumsum(logs[back])]
                 score[i:j] = sums[edges[1:]] - sums[edges[:-1]]
                 tokens[i:j] = np.diff(ranges)
                 at, hit = _find(known, words)
@@ -215,25 +250,23 @@ def _scored(model, common):
                 part[i:j] = sums[ranges[1:]] - sums[ranges[:-1]]
                 sums = np.r_[0, np.cumsum(hit)]
                 hits[i:j] = sums[ranges[1:]] - sums[ranges[:-1]]
-                own = np.repeat(np.arange(i, j), np.diff(ranges))[~hit]
-                rest = words[~hit]
-                order = np.lexsort((rest, own))
-                own, rest = own[order], rest[order]
-                first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (rest[1:] != rest[:-1])]) if len(rest) else np.zeros(0, np.int64)
-                rare_keys.append(rest[first])
-                rare_times.append(np.diff(np.r_[first, len(rest)]))
-                rare_size += np.bincount(own[first], minlength=n)
-            offsets = pa.array(np.r_[0, np.cumsum(rare_size)].astype(np.int32))
-            keys = np.concatenate(rare_keys) if rare_keys else np.zeros(0, U)
-            times = np.concatenate(rare_times) if rare_times else np.zeros(0, np.int64)
-            pairs = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)], ["key", "times"])
-            lists = pa.ListArray.from_arrays(offsets, pairs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens), pa.array(hits), pa.array(part), pa.array(score), lists], ["doc_id", "held_out", "words", "hits", "part", "score", "rare"])
+                rare.add(np.repeat(np.arange(i, j), np.diff(ranges))[~hit], words[~hit])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens), pa.array(hits), pa.array(part), pa.array(score), rare.lists(), left.lists()], ["doc_id", "held_out", "words", "hits", "part", "score", "rare", "left"])
         trim()
 
     return run
 
 
+def _logs(low):
+    """log10 probability of each asked gram, from the grams of its part."""
+
+    def run(grams_: pa.Table, asked: pa.Table) -> pa.Table:
+        key, n, g = (c.to_numpy() for c in (grams_.column("key"), grams_.column("n"), asked.column("key")))
+        return pa.table([pa.array(g), pa.array(trie(key.view(U), n, low.value).log10(g.view(U)))], ["key", "log"])
+
+    return run
+
+
 def _floor(table: DataFrame, most: int) -> int:
     """The least count by which at most ``most`` rows of ``table`` (n) are kept, of steps of a tenth."""
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1.1)))).cast("int")
@@ -274,10 +307,27 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
         order = np.argsort(key)
         return key[order], n[order], least > 1
 
-    grams_, n_grams, _ = kept(1, NODES)
+    def looked_up(keys: DataFrame) -> DataFrame:
+        """(key, log) of grams, each once."""
+        part = F.pmod(F.xxhash64(F.shiftright("key", 8).bitwiseAND((1 << 8 * LOW + 8) - 1)), F.lit(parts)).alias("part")
+        of = lambda df, *c: df.select(part, *c).repartition(parts, "part").groupBy("part")
+        return of(own, "key", "n").cogroup(of(keys, "key")).applyInArrow(_logs(low), "key long, log double")
+
     words_, n_words, more = kept(0, COMMON)
-    model, common = spark.sparkContext.broadcast(trie(grams_, n_grams)), spark.sparkContext.broadcast((words_, n_words))  # bounded by NODES and COMMON
-    scored = docs.mapInArrow(_scored(model, common), "doc_id long, held_out boolean, words long, hits long, part double, score double, rare array<struct<key:long,times:long>>")
+    common = spark.sparkContext.broadcast((words_, n_words))  # bounded by COMMON, the model by NODES
+    whole = sums.get(1, (0, 0))[0] <= NODES
+    if whole:
+        model = spark.sparkContext.broadcast(trie(*kept(1, NODES)[:2]))
+    else:
+        own = table.where("kind = 1")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(sums[1][0] / PART))
+        short = own.groupBy(F.col("key").bitwiseAND((1 << 8 * (LOW + 1)) - 1).alias("key")).agg(F.sum("n").alias("n")).orderBy("key").toArrow()
+        low = spark.sparkContext.broadcast((short.column(0).to_numpy().view(U), short.column(1).to_numpy()))
+        got = looked_up(own.where(F.col("n") >= _floor(own, NODES))).toArrow()
+        key, log = got.column(0).to_numpy().view(U), got.column(1).to_numpy()
+        order = np.argsort(key)
+        model = spark.sparkContext.broadcast((key[order], log[order]))
+    scored = docs.mapInArrow(_scored(model, common), "doc_id long, held_out boolean, words long, hits long, part double, score double, rare array<struct<key:long,times:long>>, left array<struct<key:long,times:long>>")
     scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
     base = scored.select("row", "doc_id", "held_out", "words", "hits", "part", "score")
     rest = scored.select("row", F.explode("rare").alias("r")).select("row", "r.key", "r.times")
@@ -288,6 +338,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
         base = base.join(found, "row", "left")
     else:  # every training word was in the broadcast table
         base = base.withColumns({"more": F.lit(0.0), "known": F.lit(0).cast("long")})
+    if not whole:
+        rest = scored.select("row", F.explode("left").alias("r")).select("row", "r.key", "r.times")
+        found = rest.join(looked_up(rest.select("key").distinct()), "key").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("other"))
+        base = base.join(found, "row", "left").withColumn("score", F.col("score") + F.coalesce("other", F.lit(0.0)))
     end = bool(documents)
     tokens = F.col("words") + 1
     return base.select(

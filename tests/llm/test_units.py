@@ -427,6 +427,19 @@ def test_lm_scores(spark, monkeypatch, common):
     assert ppm.lm_scores(_empty(spark)).count() == 0
 
 
+def test_lm_scores_with_more_grams_than_sent(spark, monkeypatch):
+    from lightfold.llm import ppm
+
+    texts = dict(enumerate([*AWKWARD[:7], "z" * 50, *_texts(50), "Q once # only", "Q once # onlz"]))
+    words = {i: _words(t) for i, t in texts.items()}
+    want = _ppm(words, [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for nodes in (300, 0):
+        monkeypatch.setattr(ppm, "NODES", nodes)
+        got = {r["doc_id"]: r["score"] for r in ppm.lm_scores(docs).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+
+
 # search
 
 
