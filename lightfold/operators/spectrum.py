@@ -50,11 +50,16 @@ def spacing(lc: DataFrame) -> DataFrame:
     return own.select("series_id", F.try_divide(F.lit(DAY_TO_MICROHERTZ), "span").alias("df"), F.try_divide(F.lit(DAY_TO_MICROHERTZ / 2), "step").alias("nyquist"))
 
 
-def periodogram(lc: DataFrame, count: int = 50, oversampling: int = 1) -> DataFrame:
-    """The first ``count`` steps of df / ``oversampling``, scaled so that the mean square is the sum of powers over two."""
+def periodogram(lc: DataFrame, count: int | None = 50, oversampling: int = 1) -> DataFrame:
+    """The first ``count`` steps of df / ``oversampling`` (None: all below each series' own Nyquist frequency), scaled so that
+    the mean square is the sum of powers over two."""
     points = _centred(lc).where(F.col("span") > 0)
+    last = F.lit(count)
+    if count is None:
+        own = spacing(lc).select("series_id", (F.ceil(F.col("nyquist") / F.col("df") * oversampling) - 1).cast("int").alias("last"))
+        points, last = points.join(own.where("last >= 1"), "series_id"), F.col("last")
     step = F.lit(DAY_TO_MICROHERTZ / oversampling) / F.col("span")
-    grid = points.select("series_id", "x", "y", step.alias("step"), F.explode(F.sequence(F.lit(1), F.lit(count))).alias("k")).withColumn("frequency", F.col("step") * F.col("k"))
+    grid = points.select("series_id", "x", "y", step.alias("step"), F.explode(F.sequence(F.lit(1), last)).alias("k")).withColumn("frequency", F.col("step") * F.col("k"))
     raw = _sums(grid, "series_id", "k", "step")
     norm = F.try_divide(F.col("var"), F.sum("raw").over(by_series())) * oversampling
     scaled = raw.withColumn("norm", norm)

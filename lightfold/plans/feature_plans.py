@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, spectrum
+from ..operators import features, prewhiten, spectrum
 from .registry import lightcurve, query
 
-COUNT = 50
-
 
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     lc = lightcurve(spark, sf_dir)
-    power = spectrum.periodogram(lc, COUNT)
-    return lc, power, spectrum.frequency_table(power, peaks=6, harmonics=5)
+    power = spectrum.periodogram(lc, None)
+    return lc, power, prewhiten.prewhitened(lc, peaks=6, harmonics=5, refit=5, deviation=None)
 
 
 @query()

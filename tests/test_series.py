@@ -96,6 +96,23 @@ def test_spectrum_matches_fit(spark):
     np.testing.assert_allclose(got / got.sum(), raw / raw.sum(), rtol=1e-6, atol=1e-9)
 
 
+def test_feature_sets_reach_nyquist(spark, monkeypatch):
+    from lightfold.plans import feature_plans
+
+    t = np.arange(480) / 48
+    y = 3 * np.sin(2 * np.pi * 0.0864 * 200 * t) + np.sin(2 * np.pi * 0.0864 * 90 * t) + 0.1 * np.random.default_rng(2).normal(size=480)
+    monkeypatch.setattr(feature_plans, "lightcurve", lambda *_: _frame(spark, list(zip(t, y, strict=True)), [(0, 1), (1, 2)]))
+    _, power, found = feature_plans._parts(spark, "")
+    rows = power.collect()
+    df, nyquist = 1e6 / 86400 / t[-1], 24e6 / 86400
+    assert {r["series_id"] for r in rows} == {0}
+    assert nyquist - df <= max(r["frequency"] for r in rows) <= nyquist
+    best = {r["num"]: r["frequency"] for r in found.where("series_id = 0 AND harmonic = 0").collect()}
+    assert [best[1], best[2]] == pytest.approx([200, 90], abs=0.5)
+    wide = feature_plans.features_common(spark, "").where("series_id = 0").first()
+    assert all(wide[c] is not None for c in ("Fp07", "Fp7", "Fp20", "Fp50", "Fplo"))
+
+
 def test_columns_round_trip(spark):
     lc = _frame(spark, list(zip(T[:200], _sine(20, 3)[:200], strict=True)))
     table = spectrum.frequency_table(spectrum.periodogram(lc, 12), peaks=2, harmonics=1)
