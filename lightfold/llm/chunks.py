@@ -6,8 +6,9 @@ move with insertions. Chunks (four words on average) are compared by digest; the
 document and place is kept, and runs of later ones of at least ``min_words`` words are cut out.
 
 A passage of w words gives a run of all its chunks but the first and last parts, so with
-``min_words`` 25 passages of over 50 words are found though each end may lose a chunk or two, and
-shared lines of a dozen words stay.
+``min_words`` 25 most passages of over 50 words are found, though not all: one whose first or last
+border is far from its end keeps a run under ``min_words`` and stays in every copy. Of those found, the
+words before the first and after the last common border stay. Shared lines of a dozen words stay.
 
 Skew: of a digest that repeats within a map batch only the first goes on, so a chunk that a third of
 all rows share reaches its bucket once for each batch; the others are known to repeat already.
