@@ -170,7 +170,7 @@ def forest_train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ovr_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = ml.stratified(_features(spark, sf_dir), "label", "vec_id", 0.2)
-    return ml.Boosted(_names()[:16], CLASS_NAMES, rounds=1, depth=3).fit(data.where("not test")).predict(data.where("test"), "vec_id")
+    return ml.Boosted(_names(), CLASS_NAMES, rounds=1, depth=3).fit(data.where("not test")).predict(data.where("test"), "vec_id")
 
 
 @query()

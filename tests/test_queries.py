@@ -42,3 +42,21 @@ def test_runs(spark, name):
 def test_probabilities(spark):
     rows = catalogue.QUERIES["forest_train_predict"](spark, SF).groupBy("vec_id").sum("prob").collect()
     assert rows and all(abs(r[1] - 1) < 1e-9 for r in rows)
+
+
+def test_boosted_trees_get_all_features(spark, monkeypatch):
+    from lightfold.plans import learning_plans as plans
+
+    given = []
+
+    class Told(plans.ml.Boosted):
+        def fit(self, df):
+            given.extend(self.features)
+            return self
+
+        def predict(self, df, key):
+            return df
+
+    monkeypatch.setattr(plans.ml, "Boosted", Told)
+    plans.ovr_gbt_predict(spark, SF)
+    assert given == plans._names() and len(given) == 64
