@@ -102,7 +102,7 @@ def star_id(name: Column) -> Column:
     return F.when(name.startswith("constant_"), F.lit(-10000) - after("constant_")).when(name.startswith("fakerrlyr_"), F.lit(-20000) - after("fakerrlyr_")).otherwise(name.try_cast("long"))
 
 
-def star_path(starclass: Column, name: Column) -> Column:
+def star_path(label: Column, name: Column) -> Column:
     """``class/name.txt``, numbers of nine digits."""
     own = F.when(name.rlike("^[0-9]+$"), F.lpad(name, F.greatest(F.length(name), F.lit(9)), F.lit("0"))).otherwise(name)
-    return F.concat_ws("/", starclass, F.concat(own, F.lit(".txt")))
+    return F.concat_ws("/", label, F.concat(own, F.lit(".txt")))

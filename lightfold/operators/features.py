@@ -34,18 +34,31 @@ def common(lc: DataFrame, power: DataFrame) -> DataFrame:
     return _joined(series.variance(lc), rms, ptp, spectrum.fliper(power)).select("series_id", *COMMON)
 
 
-def rfgc(lc: DataFrame, power: DataFrame, frequencies: DataFrame, units: DataFrame, bins: int = 64) -> DataFrame:
-    """Features of the shape-and-period forest. ``units`` is the trained map of shapes (unit, weights)."""
+def rfgc(lc: DataFrame, power: DataFrame, frequencies: DataFrame, units: DataFrame, bins: int = 64, line: DataFrame | None = None) -> DataFrame:
+    """Features of the shape-and-period forest. ``units`` is the trained map of shapes (unit, weights).
+
+    EBperiod is the strongest period or twice it (see ``series.corrected_period``), and folds are at that period; a negative one has no
+    place on the map (SOM_map and SOM_range are -10). ``line`` (series_id, slope: of the straight line that was taken off) adds detrend_coeff_norm, the slope
+    over the point-to-point scatter.
+    """
     periods = _wide(spectrum.top_frequencies(frequencies, spans(lc), 6), [f"p{i}" for i in range(1, 7)])
-    flat = series.prepared(lc).join(periods.select("series_id", F.col("p1").alias("_period")), "series_id")
-    mapped = learning.best_units(_shapes(flat, bins), units)
-    folded = _folded(flat)
+    own = series.prepared(lc)
+    period = series.corrected_period(own.join(periods.select("series_id", F.col("p1").alias("_first")), "series_id"), F.col("_first")).withColumnRenamed("period", "EBperiod")
+    flat = own.join(period.select("series_id", F.col("EBperiod").alias("_period")), "series_id")
+    mapped = learning.best_units(_shapes(flat.where("_period > 0"), bins), units)
+    folded = _folded(flat.where("_period > 0"))
     crossing = series.crossings(lc).select("series_id", "psi", F.col("zc0").alias("zc"))
-    plain = series.point_to_point(series.prepared(lc)).select("series_id", F.col("p2p_98").alias("p2p_98_lc"), F.col("p2p_mean").alias("p2p_mean_lc"))
+    plain = series.point_to_point(own).select("series_id", F.col("p2p_98").alias("p2p_98_lc"), F.col("p2p_mean").alias("p2p_mean_lc"))
     bands = spectrum.fliper(power).select("series_id", "Fp07", "Fp7", "Fp20", "Fp50")
     shape = mapped.select("series_id", F.col("unit").cast("double").alias("SOM_map"), F.col("range").alias("SOM_range"))
-    every = _joined(periods.withColumnRenamed("p1", "EBperiod"), spectrum.ratios(frequencies), shape, folded, plain, crossing, bands)
-    return every.select("series_id", *RFGC)
+    every = _joined(periods.drop("p1"), period, spectrum.ratios(frequencies), shape, folded, plain, crossing, bands)
+    off = F.when(F.col("EBperiod") < 0, F.lit(-10.0))
+    every = every.withColumns({c: F.coalesce(off, F.col(c)) for c in ("SOM_map", "SOM_range")})
+    if line is None:
+        return every.select("series_id", *RFGC)
+    scatter = series.point_to_point(lc).select("series_id", F.col("ptp").alias("_ptp"))
+    every = _joined(every, line.select("series_id", F.col("slope").alias("_slope")), scatter)
+    return every.select("series_id", *RFGC, F.try_divide(F.abs("_slope"), F.col("_ptp")).alias("detrend_coeff_norm"))
 
 
 def _shapes(flat: DataFrame, bins: int) -> DataFrame:

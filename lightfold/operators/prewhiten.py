@@ -127,12 +127,17 @@ def _noise(frequency: np.ndarray, power: np.ndarray, df: float, top: float, leas
     return np.clip(MEDIAN_TO_MEAN * out, 0, None) + 1
 
 
-def extract(t: np.ndarray, y: np.ndarray, peaks: int = 6, harmonics: int = 0, oversampling: int = 4, nyquist_factor: float = 1.0, alarm: float | None = 0.0027, snr: float | None = None, deviation: float | None = 0.5, failures: int | None = 10, refit: int = 10, refit_within: float | None = 10.0, noise: bool = True) -> pd.DataFrame:
+def extract(t: np.ndarray, y: np.ndarray, peaks: int = 6, harmonics: int = 0, oversampling: int = 4, nyquist_factor: float = 1.0, alarm: float | None = 0.0027, snr: float | None = None, deviation: float | None = 0.5, failures: int | None = 10, refit: int = 10, refit_within: float | None = 10.0, noise: bool = True, multiples: list[float] | None = None, snr_width: float | None = None) -> pd.DataFrame:
     """Sines in order of amplitude: (peaks * (harmonics + 1)) rows, NaN where none was found.
 
     The strongest peak over the noise floor is fitted and taken off, then its multiples; after each, the nearest
-    ones found before are fitted anew. It ends where the false-alarm chance exceeds ``alarm``.
+    ones found before are fitted anew. It ends where the false-alarm chance exceeds ``alarm``, or the amplitude is under ``snr`` times
+    the noise within ``snr_width`` microhertz (15 steps) of the peak. ``multiples`` are the harmonics' factors (2, 3, ...); fewer than ``harmonics`` are an error.
     """
+    if multiples is None:
+        multiples = list(range(2, harmonics + 2))
+    elif len(multiples) < harmonics:
+        raise ValueError("fewer multiples than harmonics")
     shape = (peaks, harmonics + 1)
     nu, a, b, dev = (np.full(shape, np.nan) for _ in range(4))
     rest = y - y.mean() if len(y) else y
@@ -165,8 +170,9 @@ def extract(t: np.ndarray, y: np.ndarray, peaks: int = 6, harmonics: int = 0, ov
         fitted((i, 0), spectrum, [f[best - 1], f[best], f[best + 1]] if 0 < best < len(f) - 1 else float(f[best]))
         weak = alarm is not None and spectrum.false_alarm(nu[i, 0]) > alarm
         if not weak and snr is not None:
-            near = np.abs(f - nu[i, 0]) < 15 * first.df
-            weak = math.hypot(a[i, 0], b[i, 0]) / math.sqrt(MEDIAN_TO_MEAN * np.median(power[near])) < snr
+            near = np.abs(f - nu[i, 0]) < (15 * first.df if snr_width is None else snr_width)
+            floor = math.sqrt(MEDIAN_TO_MEAN * np.median(power[near])) if near.any() else 0.0
+            weak = math.hypot(a[i, 0], b[i, 0]) < snr * floor
         if weak:
             nu[i, 0] = a[i, 0] = b[i, 0] = np.nan
             break
@@ -175,10 +181,10 @@ def extract(t: np.ndarray, y: np.ndarray, peaks: int = 6, harmonics: int = 0, ov
             break
         rest = rest - line((i, 0))
         for h in range(1, harmonics + 1):
-            if (h + 1) * nu[i, 0] > top:
+            if multiples[h - 1] * nu[i, 0] > top:
                 break
             spectrum = Spectrum(t, rest)
-            fitted((i, h), spectrum, (h + 1) * nu[i, 0])
+            fitted((i, h), spectrum, multiples[h - 1] * nu[i, 0])
             if alarm is not None and spectrum.false_alarm(nu[i, h]) > alarm:
                 nu[i, h] = a[i, h] = b[i, h] = np.nan
                 continue

@@ -182,12 +182,13 @@ def shape_vector(lc: DataFrame, period: Column, bins: int = 64) -> DataFrame:
     return scaled.withColumn("first", first).select("series_id", F.pmod(F.col("bin") - F.col("first"), F.lit(bins)).cast("int").alias("place"), "value", (F.col("high") - F.col("low")).alias("range"))
 
 
-def corrected_period(lc: DataFrame, period: float, bins: int = 64) -> DataFrame:
-    """``period``, or twice it where the fold at twice shows two unlike minima half a turn apart."""
-    if period < 0:
-        return clean(lc).select("series_id").distinct().select("series_id", F.lit(float(period)).alias("period"))
-    flat = detrended(clean(lc), weighted=False).withColumn("flux", F.col("flux") + 1)
-    binned = phase_bins(flat, F.lit(2.0 * period), bins, cut=5)
+def corrected_period(lc: DataFrame, period: float | Column, bins: int = 64) -> DataFrame:
+    """(series_id, period): ``period`` (a number, or a column of ``lc``), or twice it where the fold at twice shows two unlike
+    minima half a turn apart. A negative or missing period stays as it is."""
+    own = clean(lc).withColumn("_period", (period if isinstance(period, Column) else F.lit(period)).cast("double"))
+    told = own.groupBy("series_id").agg(F.first("_period").alias("told"))
+    flat = detrended(own.where("_period > 0"), weighted=False).withColumn("flux", F.col("flux") + 1)
+    binned = phase_bins(flat, 2 * F.col("_period"), bins, cut=5)
     least = binned.withColumn("best", F.min_by(F.struct("phase", "flux"), F.struct("flux", "bin")).over(by_series()))
     apart = F.pmod(F.abs(F.col("phase") - F.pmod(F.col("best.phase") + 0.5, F.lit(1.0))), F.lit(1.0))
     second = least.where((apart < 0.05) | (apart > 0.95)).groupBy("series_id").agg(F.min("flux").alias("second"), F.first("best.flux").alias("first"))
@@ -195,8 +196,9 @@ def corrected_period(lc: DataFrame, period: float, bins: int = 64) -> DataFrame:
         F.median(F.when(F.col("down") <= 30, F.col("flux"))).alias("top"), F.median(F.when(F.col("up") <= 30, F.col("flux"))).alias("bottom"), (F.max("t") - F.min("t")).alias("span")
     )
     depth = F.col("second") - F.col("first")
-    double = (depth > 0.0025) & (depth > 0.03 * (F.col("top") - F.col("bottom"))) & (F.lit(2.0 * period) <= F.col("span") / 2)
-    return ends.join(second, "series_id", "left").select("series_id", F.when(double, 2.0 * period).otherwise(float(period)).alias("period"))
+    double = (depth > 0.0025) & (depth > 0.03 * (F.col("top") - F.col("bottom"))) & (2 * F.col("told") <= F.col("span") / 2)
+    every = told.join(ends, "series_id", "left").join(second, "series_id", "left")
+    return every.select("series_id", F.when(double, 2 * F.col("told")).otherwise(F.col("told")).alias("period"))
 
 
 def flux_ratio(lc: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def _struct(text: str) -> T.StructType:
 _KINDS = {"long": T.LongType(), "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
 
 TABLES: dict[str, T.StructType] = {
-    "todolist": _struct("priority long!, starid long!, datasource string!, camera int!, ccd int!, method string, tmag double, status int, corr_status int, cbv_area int!, starclass string, final_class string"),
+    "todolist": _struct("priority long!, starid long!, datasource string!, camera int!, ccd int!, method string, tmag double, status int, corr_status int, cbv_area int!, known_class string, final_class string"),
     "diagnostics_corr": _struct("priority long!, lightcurve string, elaptime double, worker_wait_time double, variance double, rms_hour double, ptp double, errors string"),
     "datavalidation_corr": _struct("priority long!, approved boolean!, dataval int!"),
     "settings": _struct("tset string!, version string!"),
@@ -64,7 +64,7 @@ RESULT = T.StructType([
     T.StructField("elaptime", T.DoubleType()),
     T.StructField("worker_wait_time", T.DoubleType()),
     T.StructField("errors", T.ArrayType(T.StringType())),
-    T.StructField("starclass_results", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("class_probs", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("features_common", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("features", T.MapType(T.StringType(), T.DoubleType())),
 ])

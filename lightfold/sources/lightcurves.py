@@ -16,7 +16,7 @@ from ..operators.tasks import placed
 TEXT_SUFFIXES = (".txt", ".noisy", ".sysnoise", ".clean")
 FITS_PATTERN = r".*\.fits(\.gz)?$"
 POINTS = "path string, targetid long, time double, flux double, flux_err double, quality long, centroid_col double, centroid_row double, cadenceno long"
-# Columns of the corrector's and the missions' files.
+# Columns of corrected files (by which they are known) and of the missions' files.
 CORRECTED = {"time": "TIME", "flux": "FLUX_CORR", "flux_err": "FLUX_CORR_ERR", "quality": "QUALITY", "centroid_col": "MOM_CENTR1", "centroid_row": "MOM_CENTR2", "cadenceno": "CADENCENO"}
 MISSION = {"time": "TIME", "flux": "PDCSAP_FLUX", "flux_err": "PDCSAP_FLUX_ERR", "quality": "QUALITY", "centroid_col": "MOM_CENTR1", "centroid_row": "MOM_CENTR2", "cadenceno": "CADENCENO"}
 KEPLER_LENGTH = 27.4
@@ -85,11 +85,25 @@ def read_fits(data: bytes) -> tuple[dict, dict, dict[str, np.ndarray]]:
                 fields.append((name, kind) if kind[0] == "S" or count == 1 else (name, kind, (count,)))
                 names.append(name)
             rows = np.frombuffer(data, np.dtype(fields), header["NAXIS2"], at)
-            return primary, header, {n: rows[n].astype(rows[n].dtype.newbyteorder("=")) for n in names}
+            return primary, header, {n: _scaled(rows[n].astype(rows[n].dtype.newbyteorder("=")), header, k) for k, n in enumerate(names, 1)}
         at += _size(header)
     raise ValueError("the FITS file has no table")
 
 
+def _scaled(values: np.ndarray, header: dict, k: int) -> np.ndarray:
+    """A column by its TSCAL and TZERO; whole numbers stay whole if both are, and TNULL values of a scaled column are NaN."""
+    scale, zero = header.get(f"TSCAL{k}") or 1, header.get(f"TZERO{k}") or 0
+    if values.dtype.kind not in "iuf" or (scale == 1 and zero == 0):
+        return values
+    if values.dtype.kind != "f" and float(scale).is_integer() and float(zero).is_integer():
+        if zero == 2**63:  # unsigned 64-bit numbers
+            return values.view(np.uint64) ^ np.uint64(2**63)
+        return values.astype(np.int64) * int(scale) + int(zero)
+    out = values.astype(float) * float(scale) + float(zero)
+    null = header.get(f"TNULL{k}")
+    return out if null is None or values.dtype.kind == "f" else np.where(values == null, np.nan, out)
+
+
 def _size(header: dict) -> int:
     """Bytes of a unit's data, padded."""
     n = int(header.get("NAXIS", 0) or 0)
@@ -100,8 +114,8 @@ def _size(header: dict) -> int:
 def curve(data: bytes, truncate: bool = False) -> pd.DataFrame:
     """The points of a light curve file, flux in parts per million; unknown telescopes raise ValueError."""
     primary, _, columns = read_fits(data)
-    telescope, origin = primary.get("TELESCOP"), str(primary.get("ORIGIN", ""))
-    corrected = telescope == "TESS" and origin.startswith("TASOC")
+    telescope = primary.get("TELESCOP")
+    corrected = telescope == "TESS" and CORRECTED["flux"] in columns
     if not corrected and telescope not in ("TESS", "Kepler"):
         raise ValueError(f"unknown telescope: {telescope}")
     names = CORRECTED if corrected else MISSION | ({"quality": "SAP_QUALITY"} if telescope == "Kepler" else {})

@@ -84,7 +84,7 @@ class Store:
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, targets: DataFrame, **options) -> Store:
-        """A store of ``targets`` (priority, lightcurve and optionally starid, datasource, tmag, variance, rms_hour, ptp, starclass)."""
+        """A store of ``targets`` (priority, lightcurve and optionally starid, datasource, tmag, variance, rms_hour, ptp, known_class)."""
         for needed in ("priority", "lightcurve"):
             if needed not in targets.columns:
                 raise ValueError(f"targets need {needed}")
@@ -97,7 +97,7 @@ class Store:
         source = F.coalesce(own("datasource", "string"), F.lit("ffi"))
         checked = targets.withColumns({"priority": F.col("priority").cast("long"), "datasource": F.when(source.isin("ffi", "tpf"), source).otherwise(F.raise_error(F.concat(F.lit("unknown datasource "), source)))})
         one = F.lit(1)
-        todo = checked.select("priority", F.coalesce(own("starid", "long"), F.col("priority")).alias("starid"), "datasource", one.alias("camera"), one.alias("ccd"), F.lit(None).cast("string").alias("method"), F.coalesce(own("tmag", "double"), F.lit(-99.0)).alias("tmag"), one.alias("status"), one.alias("corr_status"), F.lit(111).alias("cbv_area"), own("starclass", "string").alias("starclass"), F.lit(None).cast("string").alias("final_class"))
+        todo = checked.select("priority", F.coalesce(own("starid", "long"), F.col("priority")).alias("starid"), "datasource", one.alias("camera"), one.alias("ccd"), F.lit(None).cast("string").alias("method"), F.coalesce(own("tmag", "double"), F.lit(-99.0)).alias("tmag"), one.alias("status"), one.alias("corr_status"), F.lit(111).alias("cbv_area"), own("known_class", "string").alias("known_class"), F.lit(None).cast("string").alias("final_class"))
         store.write("todolist", todo)
         nothing = F.lit(None)
         corr = checked.select("priority", F.replace("lightcurve", F.lit("\\"), F.lit("/")).alias("lightcurve"), nothing.cast("double").alias("elaptime"), nothing.cast("double").alias("worker_wait_time"), *(own(c, "double").alias(c) for c in ("variance", "rms_hour", "ptp")), nothing.cast("string").alias("errors"))
@@ -159,7 +159,7 @@ class Store:
             sets = {r[0] for r in results.select("tset").distinct().collect()} | {r["tset"] for r in self.read("settings").collect()}
             if len(sets) > 1:
                 raise ValueError(f"results of several training sets: {sorted(sets)}")
-            rows = results.select("priority", "classifier", F.explode("starclass_results").alias("class", "prob"))
+            rows = results.select("priority", "classifier", F.explode("class_probs").alias("class", "prob"))
             if not rows.where(~F.col("class").isin(*self.classes) | ~F.col("prob").between(0, 1) | F.isnan("prob")).isEmpty():
                 raise ValueError("a class is unknown, or a probability not within 0 and 1")
             if sets and not self.has("settings"):

@@ -31,7 +31,7 @@ def folder_of(key: str, folder: str | None = None) -> str:
 
 
 def targets_of(spark: SparkSession, key: str, folder: str, level: str = "L1") -> DataFrame:
-    """Targets with labels (starname, starclass, lightcurve, ...)."""
+    """Targets with labels (starname, known_class, lightcurve, ...)."""
     base = key.split("-linfit")[0]
     if base.startswith("tdasim"):
         return target_files.read_simulations(spark, f"{folder}/Data_Batch_TDA4_r1.txt", f"{folder}/diagnostics.txt", level, base.partition("-")[2] or "corr")
@@ -41,12 +41,12 @@ def targets_of(spark: SparkSession, key: str, folder: str, level: str = "L1") ->
 
 def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: list[str]) -> Store:
     """A store of labelled targets: ids are decoded from names, paths made up where there is none, labels checked."""
-    labels = lb.split(F.col("starclass"))
+    labels = lb.split(F.col("known_class"))
     known = F.array(*map(F.lit, classes))
     odd = F.array_except(labels, known)
     name = F.col("starname")
     made = targets.withColumns({
-        "starclass": F.when(F.size(odd) == 0, F.array_join(labels, ";")).otherwise(F.raise_error(F.concat(F.lit("unknown class "), F.array_join(odd, ";")))),
+        "known_class": F.when(F.size(odd) == 0, F.array_join(labels, ";")).otherwise(F.raise_error(F.concat(F.lit("unknown class "), F.array_join(odd, ";")))),
         "starid": F.coalesce("starid", lb.star_id(name)),
         "lightcurve": F.coalesce("lightcurve", lb.star_path(F.element_at(labels, 1), name)),
     })
@@ -56,7 +56,7 @@ def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: lis
 
 def messages(predicted: DataFrame, classifier: str, tset: str, features: DataFrame | None = None) -> DataFrame:
     """(priority, class, prob) as result messages."""
-    rows = predicted.groupBy("priority").agg(F.map_from_entries(F.collect_list(F.struct("class", "prob"))).alias("starclass_results"))  # a class each
+    rows = predicted.groupBy("priority").agg(F.map_from_entries(F.collect_list(F.struct("class", "prob"))).alias("class_probs"))  # a class each
     empty = F.create_map().cast("map<string,double>")
     held = empty
     if features is not None:
@@ -64,7 +64,7 @@ def messages(predicted: DataFrame, classifier: str, tset: str, features: DataFra
         pairs = F.create_map(*(x for c in names for x in (F.lit(c), F.col(c).cast("double"))))
         rows = rows.join(features.select("priority", pairs.alias("_f")), "priority", "left")
         held = F.coalesce("_f", empty)
-    out = rows.select("priority", F.lit(classifier).alias("classifier"), F.lit(tset).alias("tset"), F.lit(int(Status.OK)).alias("status"), F.lit(None).cast("double").alias("elaptime"), F.lit(None).cast("double").alias("worker_wait_time"), F.array().cast("array<string>").alias("errors"), "starclass_results", empty.alias("features_common"), held.alias("features"))
+    out = rows.select("priority", F.lit(classifier).alias("classifier"), F.lit(tset).alias("tset"), F.lit(int(Status.OK)).alias("status"), F.lit(None).cast("double").alias("elaptime"), F.lit(None).cast("double").alias("worker_wait_time"), F.array().cast("array<string>").alias("errors"), "class_probs", empty.alias("features_common"), held.alias("features"))
     return out.select(*RESULT.names)
 
 

@@ -104,14 +104,14 @@ def test_text_curves(spark, tmp_path):
     assert [(r["priority"], r["name"]) for r in found] == [(1, "a.noisy"), (2, "b.noisy")]
 
 
-def _fits(telescope="TESS", origin="TASOC/Aarhus"):
+def _fits(telescope="TESS", corrected=True):
     import numpy as np
 
     def header(cards):
         text = "".join(f"{k:<8}= {v:<70}" for k, v in cards) + f"{'END':<80}"
         return (text + " " * (-len(text) % 2880)).encode()
 
-    names = ["TIME", "FLUX_CORR", "FLUX_CORR_ERR", "QUALITY", "PDCSAP_FLUX"]
+    names = ["TIME", "FLUX_CORR" if corrected else "OTHER", "FLUX_CORR_ERR", "QUALITY", "PDCSAP_FLUX"]
     rows = np.zeros(3, [("TIME", ">f8"), ("FLUX_CORR", ">f4"), ("FLUX_CORR_ERR", ">f4"), ("QUALITY", ">i4"), ("PDCSAP_FLUX", ">f4")])
     rows["TIME"], rows["FLUX_CORR"], rows["PDCSAP_FLUX"] = [1, 2, 3], [10, 20, 30], [100, 200, 300]
     forms = ["D", "E", "E", "J", "E"]
@@ -119,7 +119,7 @@ def _fits(telescope="TESS", origin="TASOC/Aarhus"):
     for n, (name, form) in enumerate(zip(names, forms, strict=True), 1):
         table += [(f"TTYPE{n}", f"'{name}'"), (f"TFORM{n}", f"'{form}'")]
     body = rows.tobytes()
-    return header([("SIMPLE", "T"), ("BITPIX", 8), ("NAXIS", 0), ("TELESCOP", f"'{telescope}'"), ("ORIGIN", f"'{origin}'"), ("TICID", 29281992)]) + header(table) + body + b"\0" * (-len(body) % 2880)
+    return header([("SIMPLE", "T"), ("BITPIX", 8), ("NAXIS", 0), ("TELESCOP", f"'{telescope}'"), ("TICID", 29281992)]) + header(table) + body + b"\0" * (-len(body) % 2880)
 
 
 def test_fits_curves(spark, tmp_path):
@@ -128,16 +128,16 @@ def test_fits_curves(spark, tmp_path):
     (tmp_path / "x.fits.gz").write_bytes(gzip.compress(_fits()))
     rows = lightcurves.read_fits_curves(spark, str(tmp_path)).orderBy("time").collect()
     assert [(r["targetid"], r["time"], r["flux"]) for r in rows] == [(29281992, 1.0, 10.0), (29281992, 2.0, 20.0), (29281992, 3.0, 30.0)]
-    assert lightcurves.curve(_fits(origin="NASA"))["flux"].tolist() == [-500000.0, 0.0, 500000.0]
+    assert lightcurves.curve(_fits(corrected=False))["flux"].tolist() == [-500000.0, 0.0, 500000.0]
     with pytest.raises(ValueError):
         lightcurves.curve(_fits(telescope="OTHER"))
 
 
 def test_target_lists(spark, tmp_path):
-    (tmp_path / "t.ecsv").write_text("# comment\nstarname starclass tmag\n123 SOLARLIKE;ECLIPSE 7.5\nconstant_4 INSTRUMENT 1\n")
+    (tmp_path / "t.ecsv").write_text("# comment\nstarname label tmag\n123 SOLARLIKE;ECLIPSE 7.5\nconstant_4 INSTRUMENT 1\n")
     rows = targets.without_class(targets.read_ecsv(spark, str(tmp_path / "t.ecsv"))).collect()
     assert [(r["starname"], r["tmag"], r["starid"]) for r in rows] == [("123", 7.5, None)]
     (tmp_path / "s.csv").write_text("# c\nStar1,5.0,120,27,1,2,6000,10,4,0.1,RRab; multi\nStar2,5.0,120,27,1,2,6000,10,4,0.1,roAp\n")
     (tmp_path / "d.csv").write_text("1.0,2.0,3.0\n4.0,5.0,6.0\n")
     rows = targets.read_simulations(spark, str(tmp_path / "s.csv"), str(tmp_path / "d.csv")).collect()
-    assert [(r["starid"], r["starclass"], r["ptp"], r["lightcurve"]) for r in rows] == [(1, "RRLYR_CEPHEID;ECLIPSE", 3.0, "Star1.sysnoise")]
+    assert [(r["starid"], r["known_class"], r["ptp"], r["lightcurve"]) for r in rows] == [(1, "RRLYR_CEPHEID;ECLIPSE", 3.0, "Star1.sysnoise")]
