@@ -38,24 +38,21 @@ def report(pairs: DataFrame, classes: list[str]) -> DataFrame:
 def roc(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(…, threshold, fpr, tpr) from (score, positive), a point for each distinct score, by falling threshold.
 
-    Scores are grouped first. Without ``by``, running sums are taken within ranges of scores and the sums of the ranges
-    before are added, so that no task holds all scores. The curve starts at (0, 0) with a threshold of one more than the
+    Scores are grouped first. Running sums are taken within ranges of scores and the sums of the ranges
+    before are added, so that no task holds all scores, or all of a class. The curve starts at (0, 0) with a threshold of one more than the
     highest score.
     """
     by = by or []
     positive = F.col("positive").cast("int")
     ties = scored.groupBy(*by, "score").agg(F.sum(positive).alias("p"), F.sum(1 - positive).alias("n"))
-    if by:
-        every, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-        sums = ties.select(*by, "score", *(F.sum(c).over(upto).alias(c) for c in "pn"), *(F.sum(c).over(every).alias(f"all_{c}") for c in "pn"))
-    else:
-        parted = ties.withColumn("_part", -ranged(ties, "score"))
-        parts = parted.groupBy("_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
-        before, every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        offsets = parts.select("_part", *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in "pn"), *(F.sum(f"_{c}").over(every).alias(f"all_{c}") for c in "pn"))  # a row for each range
-        upto = Window.partitionBy("_part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-        own = parted.select("_part", "score", *(F.sum(c).over(upto).alias(c) for c in "pn")).join(F.broadcast(offsets), "_part")
-        sums = own.select("score", *((F.col(c) + F.col(f"_{c}")).alias(c) for c in "pn"), "all_p", "all_n")
+    parted = ties.withColumn("_part", -ranged(ties, "score"))
+    parts = parted.groupBy(*by, "_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    group = Window.partitionBy(*by).orderBy("_part")  # a row for each range
+    before, every = group.rowsBetween(Window.unboundedPreceding, -1), group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = parts.select(*by, "_part", *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in "pn"), *(F.sum(f"_{c}").over(every).alias(f"all_{c}") for c in "pn"))
+    upto = Window.partitionBy(*by, "_part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    own = parted.select(*by, "_part", "score", *(F.sum(c).over(upto).alias(c) for c in "pn")).join(offsets, [*by, "_part"])
+    sums = own.select(*by, "score", *((F.col(c) + F.col(f"_{c}")).alias(c) for c in "pn"), "all_p", "all_n")
     points = sums.select(*by, F.col("score").alias("threshold"), F.try_divide("n", "all_n").alias("fpr"), F.try_divide("p", "all_p").alias("tpr"))
     start = scored.groupBy(*by).agg((F.max("score") + 1).alias("threshold")).select(*by, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(start)
@@ -64,15 +61,16 @@ def roc(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def auc(curve: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Area under ``roc``'s curve, by trapezoids."""
     by = by or []
-    if by:
-        w = Window.partitionBy(*by).orderBy(F.desc("threshold"))
-        steps = curve.withColumns({"f0": F.lag("fpr").over(w), "t0": F.lag("tpr").over(w)})
-    else:
-        rows = placed(curve.withColumn("_order", -F.col("threshold")), "_order").select("place", "fpr", "tpr")
-        steps = rows.join(rows.select((F.col("place") + 1).alias("place"), F.col("fpr").alias("f0"), F.col("tpr").alias("t0")), "place")
+    rows = placed(curve.withColumn("_order", -F.col("threshold")), "_order", tuple(by)).select(*by, "place", "fpr", "tpr")
+    steps = rows.join(rows.select(*by, (F.col("place") + 1).alias("place"), F.col("fpr").alias("f0"), F.col("tpr").alias("t0")), [*by, "place"])
     return steps.withColumn("area", (F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2).groupBy(*by).agg(F.sum("area").alias("auc"))
 
 
+def micro(scored: DataFrame) -> DataFrame:
+    """The ROC curve of all pairs of an object and a class taken together; ``scored`` has a row for each."""
+    return roc(scored.select("score", "positive"))
+
+
 def best_threshold(curve: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The threshold of greatest tpr - fpr; of equals, the highest. A class that never separates keeps one over all scores."""
     by = by or []
@@ -86,7 +84,7 @@ def diagnostics(pairs: DataFrame, scored: DataFrame, classes: list[str], tset: s
     parts = {
         "report": report(pairs, classes).select(F.struct("class", "precision", "recall", "f1", "support").alias("r")),
         "confusion_matrix": confusion(pairs, classes).select(F.struct("truth", "predicted", "n").alias("r")),
-        "roc_auc": auc(curve, ["class"]).select(F.struct("class", "auc").alias("r")),
+        "roc_auc": auc(curve, ["class"]).unionByName(auc(micro(scored)).select(F.lit("micro").alias("class"), "auc")).select(F.struct("class", "auc").alias("r")),
         "roc_best_threshold": best_threshold(curve, ["class"]).select(F.struct("class", "threshold").alias("r")),
     }
     out = pairs.sparkSession.range(1).select(F.lit(tset).alias("tset"), F.lit(classifier).alias("classifier"), F.lit(level).alias("level"), F.array(*map(F.lit, classes)).alias("classes"))

@@ -123,13 +123,17 @@ def ranged(df: DataFrame, order: str, wanted: int = 128) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col(order))) if borders else F.lit(0)
 
 
-def placed(df: DataFrame, order: str) -> DataFrame:
-    """``place`` of each row by ``order``, from 0. Rows are numbered within ranges; only counts of ranges are brought together."""
+def placed(df: DataFrame, order: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``place`` of each row by ``order``, from 0, among the rows of equal ``by``. Rows are numbered within ranges of ``order``; only
+    counts of ranges are brought together, so a group that holds most rows is spread as well."""
     parted = df.withColumn("_part", ranged(df, order))
-    counts = parted.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row for each range
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
-    return parted.withColumn("_own", own).join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("_own")).drop("_own", "_part", "_before")
+    counts = parted.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    before = counts.select(*by, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(order)) - 1
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*by, "_part")]
+    both = parted.withColumn("_own", own).alias("l").join(F.broadcast(before).alias("r"), on)
+    return both.select("l.*", (F.col("r._before") + F.col("l._own")).alias("place")).drop("_own", "_part")
 
 
 def best_class(results: DataFrame) -> DataFrame:
