@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pretokens import Memory, code_points, pieces
-from .textops import SLICE, flat, slices, trim
+from .textops import CACHES, SLICE, flat, slices, trim
 
 _NONE = np.int64(1) << 62
 #: Pre-tokens of more characters are merged by a heap, in n log n.
@@ -136,6 +136,9 @@ def _memory(path: str) -> Memory:
     return Memory(make)
 
 
+CACHES["counts"] = _memory.cache_clear
+
+
 def count_tokens(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and tokens of each text; a null text is empty and has none."""
     memory = _memory(path)
@@ -167,7 +170,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for b in batches:
             size, tokens = count_tokens(b.column(1), path)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(tokens), pa.array(tokens > limit)], [id_col, "n_bytes", "n_tokens", "over_limit"])
-        trim()
+        trim("counts")
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import Memory, byte_level
 from .scratch import written
-from .textops import flat, slices, trim
+from .textops import CACHES, flat, slices, trim
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -68,10 +68,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+CACHES["ids"] = encoder.cache_clear
+
+
 def _cut(path: str, size: int, end: int):
     """(doc_id, text) to pieces, each with its rank among its task's pieces of equal length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim("ids")
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
             rows = []
@@ -87,7 +91,7 @@ def _cut(path: str, size: int, end: int):
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-        trim()
+        trim("ids")
 
     return run
 
