@@ -12,14 +12,16 @@ order that depends on their content alone, two partners agree on a block that is
 D + 1 of both (pigeonhole). The order used is by falling number of set bits, then by position, so
 that the keys are the most telling blocks and empty ones are not met. No pair is lost.
 
-Documents that agree on a block of a band are joined into coarse groups (a star for each key, then
-connected components), and within a group the links are found by Hamming distance of 1024-bit
-sketches and verified on the sets; pairs already joined by verified links are skipped, which loses
-no component. Groups over ``block`` shingles are dealt into blocks, and every two blocks meet in a
-task, so that no task holds more than two blocks and no pairs are emitted.
-
-Skew: exact copies and agreeing keys are first joined within a map batch, and only one head of each
-goes on, so a key held by a third of all rows arrives as one entry for each batch.
+Documents that agree on a block are not compared with each other at once. Within a map batch, and then among
+the heads of all batches, the least of them is the key's pivot and only the pairs of the pivot with each other one are kept,
+each distinct pair once; those whose sketches allow a link are verified on the sets, and connected components are taken of the links. What is left
+to compare are documents of different components below the same pivot (its others, and theirs within a batch), as all that
+share a key are below that key's pivot. Only pivots with such documents go on: below each, pairs of different
+components are found by Hamming distance of 1024-bit sketches, and the documents of such pairs are verified. A pivot with over ``block`` shingles below it
+is dealt into blocks, and every two blocks meet in a task. No closure is taken over unverified agreement, so chance agreements do not add up to large groups.
+
+Skew: exact copies are joined within a map batch, and only one head of each key goes on, so a key held by a third
+of all rows arrives as one entry for each batch. Sets are shipped for documents of some pair only.
 """
 
 from __future__ import annotations
@@ -33,14 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .scratch import written
+from .scratch import quoted, settled, unused, written
 from .textops import U, mix, planes, shingle_sets, trim, unplanes
 
 _PACKED = "bucket int, kind int, a binary, b binary"
 _EDGES = "kind int, a long, b long"
-KEY, NEAR, SAME, SIZE = 0, 1, 2, 3
+#: Kinds of pairs: a key and its holder; a pivot and another of its batch; a pivot and another batch's head; exact copies; a document and its set's size.
+KEY, LOCAL, GLOBAL, SAME, SIZE = 0, 1, 2, 3, 4
 #: Keys that a map batch gathers before it sends them on.
 FLUSH = 500_000
+#: Ids of documents of some pair up to which they are sent to the texts; beyond, the texts are shuffled to them.
+SENT = 1_000_000
 #: Set bits of a sketch by which two documents of a group are compared first.
 WORDS = 16
 
@@ -60,6 +65,13 @@ class Bands:
         """The largest symmetric difference of two linked sets of these sizes."""
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether two sets of sorted hashes reach the threshold."""
+        if min(len(a), len(b)) * self.den < max(len(a), len(b)) * self.num:
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return bool(len(a)) and self.den * both >= self.num * (len(a) + len(b) - both)
+
     def of(self, n: int) -> Iterator[tuple[int, int, int]]:
         """(band, blocks of its sketches, keys) for each band that a set of ``n`` shingles is entered in."""
         j = int(np.searchsorted(self.low, n, "right")) - 1
@@ -94,6 +106,7 @@ def _sketched(k: int, bands: Bands, buckets: int):
     """Map batches of (doc_id, text) to packed keys and the edges found within the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         keys, nodes, held = [], [], 0
         seen: dict[tuple[int, int], int] = {}
         edges: dict[int, list[tuple[int, int]]] = {SAME: [], SIZE: []}
@@ -110,7 +123,7 @@ def _sketched(k: int, bands: Bands, buckets: int):
                 near = ~head & (lead != node)
                 if near.any():
                     pairs = np.unique(np.stack([lead[near], node[near]], 1), axis=0)
-                    rows.append((int(pairs[0, 0]) % buckets, NEAR, planes(pairs[:, 0]), planes(pairs[:, 1])))
+                    rows.append((int(pairs[0, 0]) % buckets, LOCAL, planes(pairs[:, 0]), planes(pairs[:, 1])))
                 key, node = key[head], node[head]
                 to = (key >> U(48)).astype(np.int64) * buckets >> 16
                 cuts = np.searchsorted(to, np.arange(buckets + 1))
@@ -153,28 +166,53 @@ def _sketched(k: int, bands: Bands, buckets: int):
     return run
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """The keys of a bucket to a star for each key; edges found before pass through."""
-    kind = table.column("kind").to_numpy()
-    a, b = table.column("a").to_pylist(), table.column("b").to_pylist()
-    out: list[tuple[np.ndarray, ...]] = []
-    for which in (NEAR, SAME, SIZE):
-        if rows := np.flatnonzero(kind == which).tolist():
-            x, y = (np.concatenate([unplanes(c[r]) for r in rows]).view(np.int64) for c in (a, b))
-            out.append((np.full(len(x), which, np.int32), x, y))
-    if rows := np.flatnonzero(kind == KEY).tolist():
-        key, node = np.concatenate([unplanes(a[r]) for r in rows]), np.concatenate([unplanes(b[r]) for r in rows]).view(np.int64)
+def _met(buckets: int):
+    """The keys of a bucket to pairs of pivot and head, dealt anew by pair; pairs found before pass through."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        a, b = table.column("a").to_pylist(), table.column("b").to_pylist()
+
+        def whole(which: int) -> tuple[np.ndarray, np.ndarray]:
+            rows = np.flatnonzero(kind == which).tolist()
+            return tuple(np.concatenate([np.zeros(0, U), *(unplanes(c[r]) for r in rows)]) for c in (a, b))
+
+        found = {which: whole(which) for which in (LOCAL, SAME, SIZE)}
+        key, node = whole(KEY)
+        node = node.view(np.int64)
         order = np.argsort(key, kind="stable")
         key, node = key[order], node[order]
-        head = np.r_[True, key[1:] != key[:-1]]
-        group = np.cumsum(head) - 1
-        least = np.minimum.reduceat(node, np.flatnonzero(head))[group]
+        head = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+        least = np.minimum.reduceat(node, np.flatnonzero(head))[np.cumsum(head) - 1] if len(key) else node
         other = node != least
-        if other.any():
-            pairs = np.unique(np.stack([least[other], node[other]], 1), axis=0)
-            out.append((np.full(len(pairs), NEAR, np.int32), pairs[:, 0], pairs[:, 1]))
-    cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    return pa.table(cols, ["kind", "a", "b"])
+        found[GLOBAL] = least[other].view(U), node[other].view(U)
+        rows = []
+        for which, (x, y) in found.items():
+            to = (mix(x ^ mix(y)) >> U(32)) * U(buckets) >> U(32)
+            order = np.lexsort((y, x, to))
+            x, y, to = x[order], y[order], to[order]
+            new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(x) else np.zeros(0, bool)
+            x, y, to = x[new], y[new], to[new]
+            cuts = np.searchsorted(to, np.arange(buckets + 1, dtype=U))
+            rows += [(i, which, planes(x[cuts[i] : cuts[i + 1]]), planes(y[cuts[i] : cuts[i + 1]])) for i in np.flatnonzero(np.diff(cuts)).tolist()]
+        out = pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "kind", "a", "b"])
+        del found, key, node, order, head, least, other, a, b, rows
+        trim()
+        return out
+
+    return run
+
+
+def _paired(table: pa.Table) -> pa.Table:
+    """The distinct pairs of a bucket; a pair of both kinds is LOCAL and GLOBAL."""
+    kind = table.column("kind").to_numpy()
+    a, b = table.column("a").to_pylist(), table.column("b").to_pylist()
+    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for which in np.unique(kind).tolist():
+        rows = np.flatnonzero(kind == which).tolist()
+        pairs = np.unique(np.stack([np.concatenate([unplanes(c[r]) for r in rows]).view(np.int64) for c in (a, b)], 1), axis=0)
+        out.append((np.full(len(pairs), which, np.int32), pairs[:, 0], pairs[:, 1]))
+    return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], ["kind", "a", "b"])
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -183,87 +221,194 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(U)
 
 
-def links(nodes: np.ndarray, sets: list[np.ndarray], bands: Bands, side: np.ndarray | None = None) -> np.ndarray:
+def links(nodes: np.ndarray, sets: list[np.ndarray], bands: Bands, labels: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
     """Verified links that join the same documents as all links among ``sets`` do: rows (node, node).
 
-    With ``side`` (0 or 1 for each set) the links within a side are left to other calls.
+    Documents of equal ``labels`` are joined already. With ``side`` (0 or 1 for each set) the links within a side are left to other calls.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     size = np.array([len(sets[o]) for o in order], np.int64)
     sketch = np.stack([parity(sets[o]) for o in order])
-    root = np.arange(len(order))
+    root = np.unique(labels[order], return_inverse=True)[1] if labels is not None else np.arange(len(order))
     place = side[order] if side is not None else None
     found = []
     for x in range(len(order) - 1):
         end = int(np.searchsorted(size, size[x] * bands.den // bands.num, "right"))
-        if end <= x + 1:
-            continue
-        apart = np.bitwise_count(sketch[x + 1 : end] ^ sketch[x]).sum(1, dtype=np.int64)
-        near = (apart <= (size[x + 1 : end] + size[x]) * (bands.den - bands.num) // (bands.den + bands.num)) & (root[x + 1 : end] != root[x])
+        left = root[x + 1 : end] != root[x]
         if place is not None:
-            near &= place[x + 1 : end] != place[x]
+            left &= place[x + 1 : end] != place[x]
+        left = np.flatnonzero(left) + x + 1
+        if not len(left):
+            continue
+        apart = np.bitwise_count(sketch[left] ^ sketch[x]).sum(1, dtype=np.int64)
         own = sets[order[x]]
-        for y in (np.flatnonzero(near) + x + 1).tolist():
-            if root[y] == root[x]:
-                continue
-            both = len(np.intersect1d(own, sets[order[y]], assume_unique=True))
-            if bands.den * both >= bands.num * (size[x] + size[y] - both):
+        for y in left[apart <= bands.most(size[left], size[x])].tolist():
+            if root[y] != root[x] and bands.linked(own, sets[order[y]]):
                 found.append((nodes[order[x]], nodes[order[y]]))
                 root[root == root[y]] = root[x]
     return np.array(found, np.int64).reshape(-1, 2)
 
 
-def _solved(k: int, bands: Bands):
+def _solved(bands: Bands):
     def run(table: pa.Table) -> pa.Table:
-        nodes, sets = table.column("node").to_numpy(), list(shingle_sets(table.column("text"), k))
+        nodes, labels = table.column("node").to_numpy(), table.column("root").to_numpy()
+        sets = [np.frombuffer(s, U) for s in table.column("hashes").to_pylist()]
         one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
         side = None if one == two else (table.column("own").to_numpy() == two).astype(np.int8)
-        e = links(nodes, sets, bands, side)
+        e = links(nodes, sets, bands, labels, side)
         return pa.table([e[:, 0], e[:, 1]], ["a", "b"])
 
     return run
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100, block: int = 1_500_000) -> DataFrame:
+def _close(bands: Bands):
+    """Batches of (a, b, n and sketch of a, of b) to the pairs (a, b) whose sketches allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 4))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), U).reshape(-1, WORDS) for k in (3, 5))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            hit = (apart <= bands.most(n, m)) & (np.minimum(n, m) * bands.den >= np.maximum(n, m) * bands.num)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(hit))
+        trim()
+
+    return run
+
+
+def _met_below(bands: Bands):
+    """The documents of a block, or of two, that have one of another component whose sketch allows a link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
+        size = table.column("n").to_numpy()
+        order = np.argsort(size, kind="stable")
+        size, root, own = size[order], table.column("root").to_numpy()[order], table.column("own").to_numpy()[order]
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), U).reshape(-1, WORDS)[order]
+        wanted = np.zeros(len(order), bool)
+        for x in range(len(order) - 1):
+            end = int(np.searchsorted(size, size[x] * bands.den // bands.num, "right"))
+            left = root[x + 1 : end] != root[x]
+            if one != two:
+                left &= own[x + 1 : end] != own[x]
+            left = np.flatnonzero(left) + x + 1
+            if len(left):
+                hit = left[np.bitwise_count(sketch[left] ^ sketch[x]).sum(1, dtype=np.int64) <= bands.most(size[left], size[x])]
+                wanted[hit] = True
+                wanted[x] |= len(hit) > 0
+        return table.select(["pivot", "one", "two", "own", "node", "root", "n"]).take(pa.array(order[wanted]))
+
+    return run
+
+
+def _verified(bands: Bands):
+    """Batches of (a, b, set of a, set of b) to the pairs that are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = [bands.linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
+        trim()
+
+    return run
+
+
+def _hashed(k: int):
+    """Batches of (node, text) to (node, n, sketch, hashes): its set's size, parity sketch and, as bytes, hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(1), k))
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([x.tobytes() for x in xs], pa.binary()) for xs in (map(parity, sets), sets))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "hashes"])
+        trim()
+
+    return run
+
+
+def _unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(pivot, node, root) of all documents below each pivot that has documents of different components not yet compared."""
+    own = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    known = pairs.join(own("b"), "b", "left").withColumn("b_root", F.coalesce("b_root", "b"))
+    known = written(known.select("kind", "a", "b", "b_root"), "pairs")
+    local, heads = known.where(F.col("kind") == LOCAL), known.where(F.col("kind") == GLOBAL)
+    spread = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("deep").alias("deep")]
+    below = local.groupBy("a").agg(F.min("b_root").alias("low"), F.max("b_root").alias("high"), F.count("*").alias("n"), F.lit(0).cast("long").alias("deep"))
+    under = heads.join(below.select(F.col("a").alias("b"), "low", "high", "n"), "b", "left")
+    under = under.select("a", F.least("b_root", "low").alias("low"), F.greatest("b_root", "high").alias("high"), (F.coalesce("n", F.lit(0)) + 1).alias("n"), F.coalesce("n", F.lit(0)).alias("deep"))
+    pivots = below.unionByName(under).groupBy("a").agg(*spread).where("n > 1").join(own("a"), "a", "left").withColumn("a_root", F.coalesce("a_root", "a"))
+    # the pivot itself has met all but those two steps below
+    pivots = written(pivots.where("low <> high or (deep > 0 and (a_root <> low or a_root <> high))").select(F.col("a").alias("pivot"), "a_root"), "pivots")
+    direct = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("b_root").alias("root")).join(pivots.select("pivot"), "pivot", "left_semi")
+    deep = heads.select(F.col("a").alias("pivot"), F.col("b").alias("a")).join(pivots.select("pivot"), "pivot", "left_semi")
+    deep = deep.join(local.select("a", F.col("b").alias("node"), F.col("b_root").alias("root")), "a").select("pivot", "node", "root")
+    return direct.unionByName(deep).unionByName(pivots.select("pivot", F.col("pivot").alias("node"), F.col("a_root").alias("root"))).distinct()
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100, block: int = 400_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each document id, by links ``den * inter >= num * union``.
 
     component_id is the smallest id that links reach, the document's own included. A null or
     wordless text has no shingles and no links. Rows with a null id are left out. Rows that share
     an id count as one document: it has the links of each, and the largest n_shingles.
     Extra columns are ignored; an empty table gives an empty one. ``block`` is the number of
-    shingles in memory of a task, twice at most; it changes no result.
+    shingles in memory of a task, twice at most (a longer single document has more); it changes no result.
     """
     bands = Bands(num, den)
+    docs = docs.select(F.col(quoted(id_col)).cast("long").alias("node"), F.col(quoted(text_col)).cast("string").alias("text")).where("node is not null")
+    return settled(lambda: _components(docs, k, bands, block), "near").withColumnRenamed("node", id_col)
+
+
+def _components(docs: DataFrame, k: int, bands: Bands, block: int) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text")).where("node is not null")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    share = 0.35 * 9 * (den - num) / (den + num)  # bytes of packed keys for each byte of text, about
+    share = 0.35 * 9 * (bands.den - bands.num) / (bands.den + bands.num)  # bytes of packed keys for each byte of text, about
     buckets = int(max(4, int(spark.conf.get("spark.sql.shuffle.partitions")), size * share / (24 << 20)))
     packed = docs.mapInArrow(_sketched(k, bands, buckets), _PACKED).repartition(buckets, "bucket")
-    edges = written(packed.groupBy("bucket").applyInArrow(_met, _EDGES), "near")
-    exact = edges.where(F.col("kind") == SAME).select("a", "b")
+    met = packed.groupBy("bucket").applyInArrow(_met(buckets), _PACKED).repartition(buckets, "bucket")
+    edges = written(met.groupBy("bucket").applyInArrow(_paired, _EDGES), "pairs")
     sizes = edges.where(F.col("kind") == SIZE).groupBy(F.col("a").alias("node")).agg(F.max("b").alias("n_shingles"))
-    coarse = connected_components(edges.where(F.col("kind") == NEAR).select("a", "b"), "coarse")
+    exact = edges.where(F.col("kind") == SAME).select("a", "b")
+    pairs = edges.where(F.col("kind").isin(LOCAL, GLOBAL) & (F.col("a") != F.col("b")))
+
+    members = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "members")
+    members = F.broadcast(members) if members.count() <= SENT else members  # ids
+    sets = written(docs.join(members, "node", "left_semi").mapInArrow(_hashed(k), "node long, n long, sketch binary, hashes binary"), "sets")
+
+    def beside(found: DataFrame, *columns: str) -> DataFrame:
+        """(a, b, ...) with ``columns`` of the sets of both."""
+        for c in "ab":
+            found = found.join(sets.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in columns)), c)
+        return found.select("a", "b", *(f"{x}_{c}" for c in "ab" for x in columns))
+
+    close = beside(pairs.select("a", "b").distinct(), "n", "sketch").mapInArrow(_close(bands), "a long, b long").distinct()
+    linked = written(beside(close, "hashes").mapInArrow(_verified(bands), "a long, b long"), "links")
+    roots = connected_components(linked.unionByName(exact), "components")
 
-    members = coarse.join(sizes, "node")
-    groups = members.groupBy("root").agg(F.sum("n_shingles").alias("total"))
+    below = written(_unsettled(pairs, roots).join(sets.select("node", "n").distinct(), "node"), "below")
     parts = F.ceil(F.col("total") / F.lit(block)).cast("int")
-    dealt = members.join(groups, "root").withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))
-    pairs = F.when(parts <= 1, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("two")))).otherwise(
+    totals = below.groupBy("pivot").agg(F.sum("n").alias("total"))
+    dealt = below.join(totals, "pivot").withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    meets = F.when(parts <= 1, F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("two")))).otherwise(
         F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(F.least(i, F.col("own")).alias("one"), F.greatest(i, F.col("own")).alias("two")))
     )
-    dealt = dealt.select("node", "root", "own", pairs.alias("pairs")).join(docs, "node").withColumn("pair", F.explode("pairs"))
-    groups = dealt.select("root", "pair.one", "pair.two", "own", "node", "text").groupBy("root", "one", "two")
-    verified = groups.applyInArrow(_solved(k, bands), "a long, b long")
-    root = connected_components(written(verified.unionByName(exact), "links"), "links").withColumnRenamed("root", "component")
-    return sizes.join(root, "node", "left").select(F.col("node").alias(id_col), F.col("n_shingles").cast(T.LongType()), F.coalesce("component", "node").alias("component_id"))
+    dealt = dealt.select("pivot", "own", "node", "root", "n", F.explode(meets).alias("meet")).select("pivot", "meet.one", "meet.two", "own", "node", "root", "n")
+    found = dealt.join(sets.select("node", "n", "sketch"), ["node", "n"]).groupBy("pivot", "one", "two")
+    close = written(found.applyInArrow(_met_below(bands), "pivot long, one int, two int, own int, node long, root long, n long"), "close")
+    groups = close.join(sets.select("node", "n", "hashes"), ["node", "n"]).groupBy("pivot", "one", "two")
+    later = written(groups.applyInArrow(_solved(bands), "a long, b long"), "links")
+    if not later.isEmpty():
+        roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later), "components")
+    root = roots.withColumnRenamed("root", "component")
+    return sizes.join(root, "node", "left").select("node", F.col("n_shingles").cast(T.LongType()), F.coalesce("component", "node").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents less those that have a smaller id in their group of near-duplicates.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows and columns of ``docs`` less those that have a smaller id in their group of near-duplicates.
 
-    Rows with a null id stay, as nothing is known of their copies.
+    Rows with a null id stay, as nothing is known of their copies; so do all rows of a kept id.
     """
-    found = near_components(docs, **options)
-    others = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(others, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    found = near_components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), **options)
+    gone = unused("gone", docs.columns)
+    others = found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone))
+    return docs.join(others, F.col(quoted(id_col)).cast("long") == F.col(gone), "left_anti")
