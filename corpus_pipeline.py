@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lightfold.llm import chunks, jaccard, mixing, packing, toxicity
-from lightfold.llm.scratch import written
+from lightfold.llm.scratch import drop, quoted, settled
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores under 0.7."""
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, machine).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, machine).where("predicted = 0").select(*map(quoted, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,12 +29,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     left = found.where((F.col("removed_words") == 0) | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("removed_words") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return left.select(*map(quoted, docs.columns))
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens have tempered shares of source, language and topic."""
-    return mixing.mix(docs).where("_kept").select(*docs.columns)
+    mixed = mixing.mix(docs, tokenizer=public_tokenizers.path("piece_bpe_32k.model"))
+    return mixed.where("_kept").select(*map(quoted, docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +55,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    """All stages over ``documents``, each written as Parquet and read again by the next; what a stage wrote on its way is
+    deleted with the stage's input, once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, name.replace(" ", "-"))
+        own = lambda: stage(spark, docs, sf_dir)  # noqa: B023, E731
+        after = settled(own, name.replace(" ", "-")) if k < len(STAGES) - 1 else own()
+        if 0 < k < len(STAGES) - 1:
+            drop(docs)
+        docs = after
     return docs
