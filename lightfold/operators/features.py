@@ -61,6 +61,14 @@ def rfgc(lc: DataFrame, power: DataFrame, frequencies: DataFrame, units: DataFra
     return every.select("series_id", *RFGC, F.try_divide(F.abs("_slope"), F.col("_ptp")).alias("detrend_coeff_norm"))
 
 
+def shapes(lc: DataFrame, frequencies: DataFrame, bins: int = 64) -> DataFrame:
+    """(series_id, vector, range): what the map of shapes learns from, the folds at the corrected periods."""
+    first = _wide(spectrum.top_frequencies(frequencies, spans(lc), 1), ["_first"])
+    own = series.prepared(lc)
+    period = series.corrected_period(own.join(first, "series_id"), F.col("_first"))
+    return _shapes(own.join(period.select("series_id", F.col("period").alias("_period")), "series_id").where("_period > 0"), bins)
+
+
 def _shapes(flat: DataFrame, bins: int) -> DataFrame:
     """(series_id, vector, range) of each series folded at its own period."""
     at = series.phase(F.col("t"), F.col("_period"))

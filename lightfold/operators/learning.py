@@ -135,7 +135,7 @@ def save_map(units: DataFrame, path: str) -> None:
 
 def load_map(spark: SparkSession, path: str) -> DataFrame:
     """A text table of ``save_map``, or one file of that form: (unit, row, column, weights)."""
-    text = spark.read.option("wholetext", "true").text(path).first()[0]
+    text = spark.read.text(path, wholetext=True).first()[0]
     head, *lines = [line for line in text.split("\n") if line.strip()]
     rows, columns, size = (int(float(x)) for x in head.split(","))
     weights = [[float(x) for x in line.split(",")] for line in lines]

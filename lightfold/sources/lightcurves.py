@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import re
+import traceback
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,6 +145,52 @@ def read_fits_curves(spark: SparkSession, folder: str, glob: str = "*.fits*", tr
     return found.select("path", "content").mapInPandas(run, POINTS)
 
 
+def text_curve(data: bytes) -> pd.DataFrame:
+    """The points of a text light curve: three columns of numbers, or four with quality. # starts a comment."""
+    rows = [line.split("#")[0].split() for line in data.decode().splitlines()]
+    table = np.array([[float(x) for x in r] for r in rows if r], float)
+    if table.ndim != 2 or table.shape[1] < 3:
+        raise ValueError("a light curve needs three columns")
+    quality = table[:, 3].astype(np.int64) if table.shape[1] > 3 else np.zeros(len(table), np.int64)
+    return pd.DataFrame({"time": table[:, 0], "flux": table[:, 1], "flux_err": table[:, 2], "quality": quality})
+
+
+def read_targets(targets: DataFrame, folder: str, truncate: bool = False) -> DataFrame:
+    """(priority, t, flux, flux_err, quality, error): the points of each target's file (priority, lightcurve) under ``folder``.
+
+    A file that is missing or cannot be read gives one row with the error and no point, and stops nothing else.
+    """
+    spark = targets.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/") + "/"
+    bare = root.split(":", 1)[-1] if ":" in root.split("/", 1)[0] else root
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for priority, name, content in zip(batch["priority"], batch["name"], batch["content"], strict=True):
+                try:
+                    if content is None:
+                        raise FileNotFoundError(name)
+                    if name.endswith(TEXT_SUFFIXES):
+                        points = text_curve(content)
+                    elif name.endswith((".fits", ".fits.gz")):
+                        points = curve(content, truncate)
+                    else:
+                        raise ValueError(f"unknown kind of file: {name}")
+                    if points.empty:
+                        raise ValueError("no points")
+                    out = pd.DataFrame({"priority": priority, "t": points["time"], "flux": points["flux"], "flux_err": points["flux_err"], "quality": points["quality"], "error": None})
+                except Exception:
+                    out = pd.DataFrame([(priority, None, None, None, None, traceback.format_exc().strip())], columns=["priority", "t", "flux", "flux_err", "quality", "error"])
+                yield out.astype({"t": float, "flux": float, "flux_err": float, "quality": "Int64", "error": object})
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    found = found.select(F.regexp_replace("path", "^" + re.escape(root), "").alias("name"), "content")
+    own = F.regexp_replace("lightcurve", f"^({re.escape(root)}|{re.escape(bare)}|file:{re.escape(bare)}|\\./)", "")
+    both = targets.select("priority", own.alias("name")).join(found, "name", "left")
+    return both.select("priority", "name", "content").mapInPandas(run, "priority long, t double, flux double, flux_err double, quality long, error string")
+
+
 def bad_data_removed(points: DataFrame, mask: int) -> DataFrame:
     """Without points that have a bit of ``mask`` set."""
     return points.where(F.col("quality").bitwiseAND(F.lit(mask).cast("long")) == 0)

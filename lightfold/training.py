@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import labels as lb
-from .operators import evaluation, learning, tasks
+from .operators import evaluation, learning, series, tasks
 from .schemas import CLASSIFIERS, RESULT, TRAINING_SETS, Status
+from .sources import lightcurves
 from .sources import targets as target_files
 from .store import Store
 
@@ -39,8 +40,11 @@ def targets_of(spark: SparkSession, key: str, folder: str, level: str = "L1") ->
     return listed if base.endswith("-instr") else target_files.without_class(listed)
 
 
-def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: list[str]) -> Store:
-    """A store of labelled targets: ids are decoded from names, paths made up where there is none, labels checked."""
+def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: list[str], folder: str | None = None) -> Store:
+    """A store of labelled targets: ids are decoded from names, paths made up where there is none, labels checked.
+
+    With the ``folder`` of the light curves, those that cannot be read are an error, and variance, rms_hour and ptp are computed where they are not told.
+    """
     labels = lb.split(F.col("known_class"))
     known = F.array(*map(F.lit, classes))
     odd = F.array_except(labels, known)
@@ -51,7 +55,22 @@ def build_store(spark: SparkSession, path: str, targets: DataFrame, classes: lis
         "lightcurve": F.coalesce("lightcurve", lb.star_path(F.element_at(labels, 1), name)),
     })
     numbered = tasks.placed(made.withColumn("_order", name), "_order").withColumn("priority", F.col("place") + 1).drop("place", "_order")
-    return Store.create(spark, path, numbered, classes=tuple(classes))
+    return Store.create(spark, path, with_statistics(numbered, folder) if folder else numbered, classes=tuple(classes))
+
+
+def with_statistics(targets: DataFrame, folder: str) -> DataFrame:
+    """``targets`` (priority, lightcurve, variance, rms_hour, ptp) with the statistics that were null."""
+    known = targets.columns
+    targets = targets.select("*", *(F.lit(None).cast("double").alias(c) for c in ("variance", "rms_hour", "ptp") if c not in known))
+    loaded = lightcurves.read_targets(targets.select("priority", "lightcurve"), folder)
+    failed = loaded.where("error is not null").select("error").limit(3).collect()
+    if failed:
+        raise FileNotFoundError("; ".join(f["error"].splitlines()[-1] for f in failed))
+    lc = loaded.withColumnRenamed("priority", "series_id")
+    found = series.variance(lc).join(series.rms_timescale(lc), "series_id", "left").join(series.point_to_point(lc).select("series_id", "ptp"), "series_id", "left")
+    found = found.select(F.col("series_id").alias("priority"), *(F.col(c).alias(f"_{c}") for c in ("variance", "rms", "ptp")))
+    both = targets.join(found, "priority", "left")
+    return both.withColumns({c: F.coalesce(c, f"_{o}") for c, o in (("variance", "variance"), ("rms_hour", "rms"), ("ptp", "ptp"))}).drop("_variance", "_rms", "_ptp")
 
 
 def messages(predicted: DataFrame, classifier: str, tset: str, features: DataFrame | None = None) -> DataFrame:
@@ -60,31 +79,37 @@ def messages(predicted: DataFrame, classifier: str, tset: str, features: DataFra
     empty = F.create_map().cast("map<string,double>")
     held = empty
     if features is not None:
-        names = [c for c in features.columns if c != "priority"]
+        names = [c for c, kind in features.dtypes if c != "priority" and not kind.startswith("array")]
         pairs = F.create_map(*(x for c in names for x in (F.lit(c), F.col(c).cast("double"))))
-        rows = rows.join(features.select("priority", pairs.alias("_f")), "priority", "left")
-        held = F.coalesce("_f", empty)
+        rows = rows.join(features.select("priority", (pairs if names else empty).alias("_f")), "priority", "left")
+        held = F.coalesce(F.map_filter("_f", lambda _, v: v.isNotNull()), empty)
     out = rows.select("priority", F.lit(classifier).alias("classifier"), F.lit(tset).alias("tset"), F.lit(int(Status.OK)).alias("status"), F.lit(None).cast("double").alias("elaptime"), F.lit(None).cast("double").alias("worker_wait_time"), F.array().cast("array<string>").alias("errors"), "class_probs", empty.alias("features_common"), held.alias("features"))
     return out.select(*RESULT.names)
 
 
-def run_stack(store: Store, bases: dict[str, tuple[DataFrame, Callable[[], learning.Classifier]]], labelled: DataFrame, classes: list[str], tset: str, meta: Callable[[list[str]], learning.Classifier], holdout: float = 0.0) -> dict:
+def run_stack(store: Store, bases: dict[str, tuple[DataFrame, Callable[[], learning.Classifier]]], labelled: DataFrame, classes: list[str], tset: str, meta: Callable[[list[str]], learning.Classifier], holdout: float = 0.0, save: Callable[[DataFrame], None] | None = None, folds: int = FOLDS) -> dict:
     """Fits base classifiers and the stack, and stores out-of-fold and stacked results.
 
     ``bases`` gives features (priority, ...) and a maker of each base classifier, ``labelled`` has priority and label
-    (place in ``classes``). Returns the fitted classifiers, and with a ``holdout`` the metrics on it as JSON.
+    (place in ``classes``). Returns the fitted classifiers, and with a ``holdout`` the metrics on it as JSON. ``save`` gets all result
+    messages beside the store.
     """
+    def keep(rows: DataFrame) -> None:
+        store.save(rows)
+        if save:
+            save(rows)
+
     dealt = learning.stratified(labelled, "label", "priority", holdout).select("priority", "label", "test")
     fitted: dict = {}
     parts = []
     for name, (features, make) in bases.items():
         data = features.join(dealt, "priority")
         train, test = data.where("not test"), data.where("test")
-        predicted = learning.out_of_fold(make, train, "priority", folds=FOLDS)
+        predicted = learning.out_of_fold(make, train, "priority", folds=folds)
         fitted[name] = make().fit(train)
         if holdout:
             predicted = predicted.unionByName(fitted[name].predict(test, "priority"))
-        store.save(messages(predicted, name, tset, features))
+        keep(messages(predicted, name, tset, features))
         parts.append(store.read("results", name))
     wide = tasks.wide(reduce(DataFrame.unionByName, parts), list(bases), classes)
     wide = tasks.without_empty_columns(wide, ["priority"])
@@ -95,13 +120,17 @@ def run_stack(store: Store, bases: dict[str, tuple[DataFrame, Callable[[], learn
     data = wide.join(dealt, "priority")
     fitted["meta"] = meta(names).fit(data.where("not test"))
     stacked = fitted["meta"].predict(data, "priority")
-    store.save(messages(stacked, "meta", tset))
+    keep(messages(stacked, "meta", tset))
     if holdout:
         truth = dealt.where("test").select("priority", F.element_at(F.array(*map(F.lit, classes)), F.col("label").cast("int") + 1).alias("truth"))
         judged = stacked.join(truth, "priority")
         pairs = tasks.best_class(judged.select("priority", "class", "prob")).join(truth, "priority").select("truth", F.col("class").alias("predicted"))
         scored = judged.select("class", F.col("prob").alias("score"), (F.col("class") == F.col("truth")).alias("positive"))
         fitted["diagnostics"] = json.loads(evaluation.diagnostics(pairs, scored, classes, tset, "meta", "L1").first()[0])
+        fitted["meta"].test_complete(fitted["diagnostics"])
+    for model in fitted.values():
+        if isinstance(model, learning.Forest):
+            model.importance_complete(model.importances())
     return fitted
 
 
