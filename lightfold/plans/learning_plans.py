@@ -13,9 +13,9 @@ from ..operators import tasks as k
 from .registry import lightcurve, query, rounded, table, tidy
 
 NAMES = {"click": "Transit", "error": "dSct+gDor hybrid", "purchase": "Spots", "signup": "unknown", "view": " RRab "}
-#: Labels of users: those of their events of one day in ten, in order of time, joined by ";".
+#: Labels of users: those of their events, in order of time, joined by ";".
 _LABELS = (
-    "WITH e AS (SELECT user_id, ts, event_id, CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in NAMES.items()) + " END AS label FROM events WHERE event_id % 10 < 1),"
+    "WITH e AS (SELECT user_id, ts, event_id, CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in NAMES.items()) + " END AS label FROM events),"
     " t AS (SELECT user_id, string_agg(label, ';' ORDER BY ts, event_id) AS labels FROM e GROUP BY 1),"
     " w AS (SELECT user_id, list_filter(list_transform(string_split(labels, ';'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM t),"
     " d AS (SELECT user_id, list_filter(parts, lambda x, i: list_position(parts, x) = i) AS labels FROM w),"
@@ -26,7 +26,7 @@ _LABELS = (
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("event_id % 10 < 1")
+    e = table(spark, sf_dir, "events")
     meaning = F.create_map(*(F.lit(x) for pair in NAMES.items() for x in pair))
     rows = F.sort_array(F.collect_list(F.struct("ts", "event_id", meaning[F.col("event_type")].alias("label"))))
     text = e.groupBy("user_id").agg(F.array_join(F.transform(rows, lambda r: r["label"]), ";").alias("text"))
@@ -133,7 +133,7 @@ def roc_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(ev.best_threshold(ev.roc(_judged(spark, sf_dir))))
 
 
-@query()
+@query()  # one text of numbers: see tests for the same from plain loops
 def diagnostics_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _judged(spark, sf_dir).withColumn("class", F.lit("good"))
     return ev.diagnostics(_pairs(spark, sf_dir), scored, CLASSES, "testing", "meta", "L1")

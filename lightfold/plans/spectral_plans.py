@@ -21,7 +21,7 @@ ab AS (SELECT *, (ys * cc - yc * cs) / (ss * cc - cs * cs) AS alpha, (yc * ss -
 
 SPECTRUM = LC + _FIT + f""", gr AS (SELECT series_id, x, y, 1e6 / 86400 / span AS step, CAST(k.range AS INTEGER) AS k, 1e6 / 86400 / span * k.range AS frequency FROM c0 CROSS JOIN range(1, {COUNT + 1}) k WHERE span > 0)""" + _sums_sql("gr", "series_id, k, step") + """,
 rw AS (SELECT *, greatest(alpha * ys + beta * yc, 0) AS raw FROM ab), nm AS (SELECT *, var / sum(raw) OVER (PARTITION BY series_id) AS norm FROM rw),
-ps AS (SELECT series_id, k, frequency, alpha, beta, 2 * norm * raw AS power, norm * raw / step AS density, sqrt(2 * norm * raw) AS amplitude FROM nm)"""
+ps AS MATERIALIZED (SELECT series_id, k, frequency, alpha, beta, 2 * norm * raw AS power, norm * raw / step AS density, sqrt(2 * norm * raw) AS amplitude FROM nm)"""
 _TABLE = """, rk AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY amplitude DESC, k) AS num FROM ps),
 wa AS (SELECT series_id, CAST(num AS INTEGER) AS num, CAST(h.range AS INTEGER) AS harmonic, k * (h.range + 1) AS kk FROM rk CROSS JOIN range(2) h WHERE num <= 3),
 ft AS (SELECT wa.series_id, num, harmonic, frequency, sqrt(alpha * alpha + beta * beta) AS amplitude, atan2(beta, alpha) AS phase FROM wa LEFT JOIN ps ON ps.series_id = wa.series_id AND ps.k = wa.kk)"""
