@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import gzip
 import json
 import sys
 
@@ -12,6 +11,7 @@ from pyspark.sql import SparkSession
 from . import classify, training
 from .schemas import CLASSIFIERS, TRAINING_SETS, Level1, Level2
 from .sources import lightcurves
+from .sources.documents import load_json
 from .store import DiagnosticsNotAvailableError, Store
 
 
@@ -68,8 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "tasks":
         print(Store(spark, args.store).number_of_tasks(args.classifier))
     elif args.job == "final":
-        with (gzip.open if args.thresholds.endswith(".gz") else open)(args.thresholds, "rt", encoding="utf-8") as f:
-            Store(spark, args.store).assign_final_class(json.load(f))
+        Store(spark, args.store).assign_final_class(load_json(args.thresholds))
     else:
         classes = tuple(c.name for c in (Level1 if args.level == "L1" else Level2))
         if args.job == "classify":

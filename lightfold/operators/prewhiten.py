@@ -254,6 +254,41 @@ def shapiro_w(x: np.ndarray) -> float:
     return float((w @ x) ** 2 / ((x - x.mean()) ** 2).sum())
 
 
+def joint_entropy(points: np.ndarray, k: int = 3, base: float = 2.0) -> float:
+    """Differential entropy of points (rows) from distances to the k-th neighbour, by the largest coordinate; NaN for k points or fewer."""
+    n, d = points.shape
+    if n <= k:
+        return math.nan
+    far = np.empty(n)
+    for a in range(0, n, 256):
+        apart = np.abs(points[a : a + 256, None] - points).max(2)
+        far[a : a + 256] = np.partition(apart, k, axis=1)[:, k]
+    harmonic = sum(1 / i for i in range(1, n)) - sum(1 / i for i in range(1, k))
+    known = far[far > 0]
+    return (harmonic + d * math.log(2) + d * float(np.log(known).mean())) / math.log(base) if len(known) else math.nan
+
+
+def neighbours_within(points: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """How many points (itself too) lie within each point's own radius, by the largest coordinate."""
+    return np.concatenate([(np.abs(points[a : a + 256, None] - points).max(2) <= radius[a : a + 256, None]).sum(1) for a in range(0, len(points), 256)]) if len(points) else np.zeros(0, int)
+
+
+def mean_digamma(points: np.ndarray, radius: np.ndarray) -> float:
+    """Mean digamma of the neighbours within a hair less than each radius."""
+    counts = neighbours_within(points, radius - 1e-15)
+    return float(np.mean([sum(1 / i for i in range(1, int(c))) - 0.5772156649015329 for c in counts]))
+
+
+def conditional_entropy(lc: DataFrame, given: str = "t", value: str = "flux", k: int = 3) -> DataFrame:
+    """(series_id, conditional_entropy): the entropy of ``value`` and ``given`` together less that of ``given`` alone, in bits."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        both = pdf[[value, given]].to_numpy(float)
+        return pd.DataFrame([(key[0], joint_entropy(both, k) - joint_entropy(both[:, 1:], k))])
+
+    return clean(lc).select("series_id", value, given).groupBy("series_id").applyInPandas(run, "series_id long, conditional_entropy double")
+
+
 def sample_entropy(x: np.ndarray, length: int = 2, tolerance: float | None = None) -> float:
     """-ln of how much rarer runs of ``length`` + 1 repeat within ``tolerance`` (0.1 sigma) than runs of ``length``; 0 if none repeat."""
     n = len(x)

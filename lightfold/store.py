@@ -2,7 +2,8 @@
 
 Each table is a folder of versions; the newest that was written to its end (its _SUCCESS file exists) counts, so
 readers see a table before or after a change, never between. Diagnostics, results and features are kept by
-classifier, and a change writes that classifier's part alone. One writer at a time.
+classifier; a change of them writes the rows that changed alone, as a step on the version before, and of several steps with rows of a target
+the last counts. ``STEPS`` steps are made one version, so a row is written again once in so many changes. One writer at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from .operators import tasks
 from .schemas import CLASSIFIERS, TABLES, Level1, Status
 
 PARTED = ("diagnostics", "results", "features")
+#: Steps after which a part is written anew.
+STEPS = 20
 
 
 class DiagnosticsNotAvailableError(Exception):
@@ -24,8 +27,10 @@ class DiagnosticsNotAvailableError(Exception):
 
 
 class Store:
-    def __init__(self, spark: SparkSession, path: str, classes: tuple[str, ...] = tuple(c.name for c in Level1), overwrite: bool = False, cached: bool = False):
+    def __init__(self, spark: SparkSession, path: str, classes: tuple[str, ...] = tuple(c.name for c in Level1), overwrite: bool = False, cached: bool = False, backup: str | None = None, backup_interval: int = 10_000):
+        """``cached`` tables stay in memory until they change or ``close``. With ``backup`` the store is copied there after every ``backup_interval`` results, and at ``close``."""
         self.spark, self.path, self.classes, self.cached = spark, path.rstrip("/"), classes, cached
+        self.backup_path, self.backup_interval, self._since, self._kept = backup, backup_interval, 0, {}
         if not self.has("todolist") and not self._fs(self.path).exists(self._p(self.path)):
             raise FileNotFoundError(path)
         if overwrite:  # features stay
@@ -40,12 +45,15 @@ class Store:
     def _fs(self, path: str):
         return self._p(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _versions(self, where: str) -> list[int]:
+    def _versions(self, where: str) -> list[str]:
+        """Finished folders that make up a table, in order: the last version (v) and the steps (d) after it."""
         fs = self._fs(where)
         if not fs.exists(self._p(where)):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(self._p(where))]
-        return sorted(int(n[1:]) for n in names if re.fullmatch(r"v\d+", n) and fs.exists(self._p(f"{where}/{n}/_SUCCESS")))
+        done = sorted((n for n in names if re.fullmatch(r"[vd]\d+", n) and fs.exists(self._p(f"{where}/{n}/_SUCCESS"))), key=lambda n: int(n[1:]))
+        whole = [i for i, n in enumerate(done) if n[0] == "v"]
+        return done[whole[-1] :] if whole else done
 
     def _where(self, name: str, part: str | None) -> str:
         return f"{self.path}/{name}/{part}" if part else f"{self.path}/{name}"
@@ -67,18 +75,66 @@ class Store:
         versions = self._versions(self._where(name, part))
         if not versions:
             return self.spark.createDataFrame([], TABLES[name])
-        df = self.spark.read.parquet(f"{self._where(name, part)}/v{versions[-1]}")
-        return df.cache() if self.cached else df
+        if (name, part) in self._kept:
+            return self._kept[name, part]
+        steps = [self.spark.read.parquet(f"{self._where(name, part)}/{v}").withColumn("_step", F.lit(i)) for i, v in enumerate(versions)]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), steps)
+        if len(steps) > 1:
+            last = df.groupBy("priority").agg(F.max("_step").alias("_step"))
+            df = df.join(last, ["priority", "_step"]).select("priority", *(c for c in df.columns if c not in ("priority", "_step")))
+        else:
+            df = df.drop("_step")
+        if name in TABLES:
+            df = df.select(*TABLES[name].names)
+        if self.cached:
+            self._kept[name, part] = df.cache()
+        return df
+
+    def _forget(self, name: str, part: str | None = None) -> None:
+        for key in [k for k in self._kept if k[0] == name and part in (None, k[1])]:
+            self._kept.pop(key).unpersist()
 
     def write(self, name: str, df: DataFrame, part: str | None = None) -> None:
+        """A new version of a table, or of a part."""
         where = self._where(name, part)
         versions = self._versions(where)
-        df.write.mode("overwrite").parquet(f"{where}/v{(versions[-1] if versions else 0) + 1}")
+        df.write.mode("overwrite").parquet(f"{where}/v{int(versions[-1][1:]) + 1 if versions else 1}")
         for old in versions:
-            self._fs(where).delete(self._p(f"{where}/v{old}"), True)
+            self._fs(where).delete(self._p(f"{where}/{old}"), True)
+        self._forget(name, part)
+
+    def upsert(self, name: str, df: DataFrame, part: str) -> None:
+        """Rows that replace those of the same targets in a part."""
+        where = self._where(name, part)
+        versions = self._versions(where)
+        df.write.mode("overwrite").parquet(f"{where}/d{int(versions[-1][1:]) + 1 if versions else 1}")
+        self._forget(name, part)
+        if len(versions) >= STEPS:
+            self.write(name, self.read(name, part), part)
 
     def drop(self, name: str, part: str | None = None) -> None:
         self._fs(self.path).delete(self._p(self._where(name, part)), True)
+        self._forget(name, part)
+
+    def backup(self, path: str) -> None:
+        """A copy of the store at ``path``, in place of what was there once it is whole."""
+        fs, jvm = self._fs(path), self.spark._jvm
+        new, old = self._p(path + ".new"), self._p(path)
+        fs.delete(new, True)
+        conf = self.spark._jsc.hadoopConfiguration()
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(self._fs(self.path), self._p(self.path), fs, new, False, conf):
+            raise OSError(f"the store could not be copied to {path}")
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"the copy could not be moved to {path}")
+        self._since = 0
+
+    def close(self) -> None:
+        """Frees cached tables; makes the last backup."""
+        for name in {k[0] for k in self._kept}:
+            self._forget(name)
+        if self.backup_path:
+            self.backup(self.backup_path)
 
     # targets
 
@@ -139,7 +195,7 @@ class Store:
                 raise ValueError(f"tasks of {c} have been started before")
             nothing = F.lit(None)
             row = own.withColumns({"status": F.lit(int(Status.STARTED)), "elaptime": nothing.cast("double"), "worker_wait_time": nothing.cast("double"), "errors": nothing.cast("string")})
-            self.write("diagnostics", old.unionByName(row), c)
+            self.upsert("diagnostics", row, c)
 
     def reset_started(self) -> None:
         """Forgets tasks that were started and never ended."""
@@ -167,32 +223,37 @@ class Store:
             for (c,) in results.select("classifier").distinct().collect():  # a few classifiers
                 own = results.where(F.col("classifier") == c)
                 row = own.select("priority", "classifier", "status", "elaptime", "worker_wait_time", F.when(F.size("errors") > 0, F.array_join("errors", "\n")).alias("errors"))
-                self.write("results", tasks.upserted(self.read("results", c), rows.where(F.col("classifier") == c), ["priority"]) if self.has("results", c) else rows.where(F.col("classifier") == c), c)
-                self.write("diagnostics", tasks.upserted(self.read("diagnostics", c), row, ["priority"]), c)
+                self.upsert("results", own.select("priority", "classifier", F.explode("class_probs").alias("class", "prob")), c)
+                self.upsert("diagnostics", row, c)
                 self.save_features("common", own.select("priority", F.col("features_common").alias("features")))
                 if c != "meta":
                     self.save_features(c, own.select("priority", "features"))
+            self._since += results.count()
         finally:
             results.unpersist()
+        if self.backup_path and self._since >= self.backup_interval:
+            self.backup(self.backup_path)
 
-    def save_features(self, part: str, features: DataFrame) -> None:
-        """Features (priority, features: map) replace earlier ones; new names add columns."""
+    def save_features(self, part: str, features: DataFrame, frozen: bool = False) -> None:
+        """Features (priority, features: map) replace earlier ones; new names add columns. If they are ``frozen``, names beyond those
+        of the first features are ignored, and a row without all of them is an error."""
         if part != "common" and (part not in CLASSIFIERS or part == "meta"):
             raise ValueError(f"no features are kept for {part}")
         known = features.where("features is not null and size(features) > 0")
         names = [r[0] for r in known.select(F.explode(F.map_keys("features")).alias("k")).distinct().orderBy("k").collect()]
         if not names:
             return
-        new = known.select("priority", *(F.col("features")[n].alias(n) for n in names))
-        if self.has("features", part):
-            old = self.read("features", part)
-            new = old.join(new.select("priority"), "priority", "left_anti").unionByName(new, allowMissingColumns=True)
-        self.write("features", new.select("priority", *sorted(c for c in new.columns if c != "priority")), part)
+        if frozen and self.has("features", part):
+            names = [c for c in self.read("features", part).columns if c != "priority"]
+            without = F.size(F.array_except(F.array(*map(F.lit, names)), F.map_keys("features"))) > 0
+            if not known.where(without).isEmpty():
+                raise ValueError(f"features of {part} are missing")
+        self.upsert("features", known.select("priority", *(F.col("features")[n].alias(n) for n in names)), part)
 
     def features(self, part: str) -> DataFrame:
         """Cached features, unknown ones NaN."""
         own = self.read("features", part)
-        return own.select("priority", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in own.columns if c != "priority"))
+        return own.select("priority", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in sorted(own.columns) if c != "priority"))
 
     def clear_features(self) -> None:
         self.drop("features")

@@ -127,3 +127,62 @@ def test_shape_statistics():
     assert 0.9 < prewhiten.shapiro_w(x) <= 1 and prewhiten.shapiro_w(np.exp(2 * x)) < 0.7
     assert math.isnan(prewhiten.shapiro_w(np.ones(9)))
     assert prewhiten.sample_entropy(np.tile([1.0, 2.0], 50)) < 0.1
+
+
+def test_period_column_and_negative_periods(spark):
+    """Unlike minima double the period, each series by its own; a negative period stays."""
+    rows = []
+    for t in range(400):
+        x = t / 10
+        eclipse = lambda p, d: d if abs((x / 4 - p + 0.5) % 1 - 0.5) < 0.03 else 0.0  # noqa: B023, E731
+        rows += [(1, x, 1 - eclipse(0, 0.5) - eclipse(0.5, 0.2), 0.1), (2, x, 1 - eclipse(0, 0.5) - eclipse(0.5, 0.5), 0.1), (3, x, 1.0 + t % 2, 0.1)]
+    lc = spark.createDataFrame(rows, "series_id long, t double, flux double, flux_err double").withColumn("p", F.when(F.col("series_id") == 3, -1.0).otherwise(2.0))
+    got = {r["series_id"]: r["period"] for r in series.corrected_period(lc, F.col("p")).collect()}
+    assert got == {1: 4.0, 2: 2.0, 3: -1.0}
+    assert {r["period"] for r in series.corrected_period(lc.where("series_id = 1"), 2.0).collect()} == {4.0}
+
+
+def test_multiples_and_noise_width():
+    import numpy as np
+
+    from lightfold.operators.prewhiten import ANGLE, extract
+
+    t = np.arange(0, 27, 1 / 48)
+    f = 50.0
+    y = 100 * np.sin(ANGLE * f * t) + 30 * np.sin(ANGLE * 1.5 * f * t) + np.random.default_rng(1).normal(0, 1, len(t))
+    found = extract(t, y, peaks=1, harmonics=1, multiples=[1.5], refit=0)
+    assert found["frequency"].tolist() == pytest.approx([f, 1.5 * f], abs=0.05) and found["amplitude"].tolist() == pytest.approx([100, 30], abs=2)
+    with pytest.raises(ValueError):
+        extract(t, y, harmonics=2, multiples=[2])
+    assert extract(t, y, peaks=1, snr=1e6, snr_width=100.0, alarm=None)["frequency"].isna().all()
+
+
+def test_entropies():
+    import numpy as np
+
+    from lightfold.operators.prewhiten import joint_entropy, mean_digamma, neighbours_within
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (3000, 2))
+    assert joint_entropy(x[:, :1]) == pytest.approx(0.5 * np.log2(2 * np.pi * np.e), abs=0.08)
+    assert joint_entropy(x) - joint_entropy(x[:, 1:]) == pytest.approx(0.5 * np.log2(2 * np.pi * np.e), abs=0.12)
+    few = np.array([[0.0], [1.0], [3.0]])
+    assert neighbours_within(few, np.array([1.0, 1.0, 5.0])).tolist() == [2, 2, 3]
+    assert mean_digamma(few, np.full(3, 10.0)) == pytest.approx(1.5 - 0.5772156649)
+
+
+def test_false_alarm_against_the_series_form(spark):
+    import numpy as np
+
+    from lightfold.operators import spectrum as sp
+    from lightfold.operators.prewhiten import Spectrum
+
+    rng = np.random.default_rng(3)
+    t = np.sort(rng.uniform(0, 20, 300))
+    y = np.sin(t) + rng.normal(0, 2, 300)
+    own = Spectrum(t, y)
+    for f in (1.8, 5.0, 9.0):
+        z = own.fit(f)[2][0] / own.total
+        top = 5 * 0.5 * len(t) / (t.max() - t.min())
+        got = spark.range(1).select(sp.false_alarm(F.lit(float(z)), F.lit(len(t)), F.lit(float(t.std())), F.lit(float(top)))).first()[0]
+        assert got == pytest.approx(own.false_alarm(f), abs=1e-6)

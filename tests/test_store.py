@@ -87,6 +87,80 @@ def test_overwrite_keeps_features(store):
     assert again.read("results").isEmpty() and again.has("features", "rfgc") and again.number_of_tasks() == 10
 
 
+def test_changes_write_their_rows_alone(store, monkeypatch):
+    from lightfold import store as module
+
+    monkeypatch.setattr(module, "STEPS", 3)
+    where = f"{store.path}/results/rfgc"
+    for n in range(6):
+        _save(store, _message(17 if n % 2 else 26, "rfgc", probs={"ECLIPSE": n / 10}))
+        assert len(store._versions(where)) <= 4
+        rows = {r["priority"]: r["prob"] for r in store.read("results", "rfgc").collect()}
+        assert rows[17 if n % 2 else 26] == n / 10 and len(rows) == min(n + 1, 2)
+    assert sum(v[0] == "v" for v in store._versions(where)) == 1
+
+
+def test_frozen_features(store):
+    first = store.spark.createDataFrame([(17, {"f1": 1.0, "f2": 2.0})], "priority long, features map<string,double>")
+    store.save_features("rfgc", first, frozen=True)
+    store.save_features("rfgc", store.spark.createDataFrame([(26, {"f1": 1.0, "f2": 3.0, "f3": 4.0})], first.schema), frozen=True)
+    assert store.features("rfgc").columns == ["priority", "f1", "f2"]
+    with pytest.raises(ValueError):
+        store.save_features("rfgc", store.spark.createDataFrame([(30, {"f1": 1.0})], first.schema), frozen=True)
+
+
+def test_backup(store, tmp_path):
+    copy = str(tmp_path / "copy")
+    kept = Store(store.spark, store.path, cached=True, backup=copy, backup_interval=2)
+    _save(kept, _message(17, "rfgc"))
+    with pytest.raises(FileNotFoundError):
+        Store(store.spark, copy)
+    assert kept.read("results", "rfgc").count() == 3 and kept._kept
+    _save(kept, _message(26, "rfgc"))
+    assert Store(store.spark, copy).read("results").count() == 6
+    _save(kept, _message(26, "xgb"))
+    assert kept.read("results").count() == 9
+    kept.close()
+    assert not kept._kept and Store(store.spark, copy).read("results").count() == 9
+
+
+def test_json_documents(tmp_path):
+    import numpy as np
+
+    from lightfold.schemas import Status
+    from lightfold.sources.documents import load_json, save_json
+
+    value = {"a": np.arange(2), "b": np.float64(0.5), "c": Status.OK, "é": [None, True]}
+    for name in ("d.json", "d.json.gz"):
+        save_json(str(tmp_path / name), value)
+        assert load_json(str(tmp_path / name)) == {"a": [0, 1], "b": 0.5, "c": 1, "é": [None, True]}
+    with pytest.raises(TypeError):
+        save_json(str(tmp_path / "x.json"), object())
+
+
+def test_newest_message_counts(store, tmp_path):
+    import os
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, at, prob in (("b.json", 100, 0.1), ("a.json", 200, 0.9)):
+        rows = [_message(17, "rfgc", probs={"ECLIPSE": prob - 0.05}), _message(17, "rfgc", probs={"ECLIPSE": prob})]
+        (folder / name).write_text("\n".join(json.dumps(dict(zip(RESULT.names, r, strict=True))) for r in rows))
+        os.utime(folder / name, (at, at))
+    follow(store, str(folder), str(tmp_path / "check")).awaitTermination(60)
+    assert [r["prob"] for r in store.read("results", "rfgc").collect()] == [0.9]
+
+
+def test_scaled_fits_columns():
+    import numpy as np
+
+    header = {"TSCAL1": 0.5, "TZERO1": 10, "TNULL1": 7, "TZERO2": 32768, "TZERO3": 2**63}
+    assert lightcurves._scaled(np.array([2, 7], np.int16), header, 1).tolist()[0] == 11.0 and np.isnan(lightcurves._scaled(np.array([2, 7], np.int16), header, 1)[1])
+    assert lightcurves._scaled(np.array([-32768, 32767], np.int16), header, 2).tolist() == [0, 65535]
+    assert lightcurves._scaled(np.array([-(2**63), 0], np.int64), header, 3).tolist() == [0, 2**63]
+    assert lightcurves._scaled(np.array([1.5]), header, 4).tolist() == [1.5]
+
+
 def test_stream(store, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
