@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import mapped
 from .textops import LOWER, U, flat, mix, prefix_hash, slices, span_hash, spans, trim
 
 LETTERS = np.zeros(256, bool)
@@ -77,9 +78,57 @@ def _raw(bias: float, weight: np.ndarray, factor: np.ndarray, place: np.ndarray,
     return bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
-def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = 8, steps: int = 2500, rate: float = 0.15, decay: float = 1e-5, least: int = 4, telling: float = 15.0, seed: int = 7) -> Machine:
-    """Fit by AdaGrad over mini-batches of 256, ``steps`` at least. Terms in under ``least`` texts, or whose presence tells little of the
-    label (likelihood ratio under ``telling``), are left out. Without both labels the score is the share of 1."""
+def _likelihood(one: np.ndarray, total: np.ndarray, ones: float, n: int) -> np.ndarray:
+    """Twice the log likelihood ratio of the label given presence; ``one`` of ``total`` texts that have it are among the ``ones`` of ``n``."""
+
+    def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / np.maximum(b, 1e-12)), 0)
+
+    p = ones / n
+    rest, rest_one = n - total, ones - one
+    return 2 * (part(one, total * p) + part(total - one, total * (1 - p)) + part(rest_one, rest * p) + part(rest - rest_one, rest * (1 - p)))
+
+
+def _paired(known: np.ndarray, total: np.ndarray, one: np.ndarray, flat_terms: np.ndarray, ends: np.ndarray, y: np.ndarray, telling: float, most: int) -> np.ndarray:
+    """Of the ``most`` most frequent terms in under two thirds of the texts, those that tell the label together with another of
+    them, by ``telling`` more than either does alone and more than the two added up."""
+    n, ones = len(y), float(y.sum())
+    some = np.flatnonzero(total < n * 2 / 3)
+    some = np.sort(some[np.argsort(-total[some], kind="stable")[:most]])
+    if not len(some):
+        return np.zeros(0, np.int64)
+    own = known[some]
+    both, both_one = np.zeros((2, len(some), len(some)))
+    border = np.r_[0, ends]
+    for a in range(0, n, 2000):
+        b = min(a + 2000, n)
+        terms_ = flat_terms[border[a] : border[b]]
+        place = np.minimum(np.searchsorted(own, terms_), len(own) - 1)
+        hit = np.flatnonzero(own[place] == terms_)
+        have = np.zeros((b - a, len(some)), np.float32)
+        have[np.searchsorted(ends, hit + border[a], "right") - a, place[hit]] = 1
+        both += have.T @ have
+        both_one += have.T @ (have * y[a:b, None].astype(np.float32))
+    alone = _likelihood(one[some], total[some], ones, n)
+    # what the two would give if they did not interact: odds multiplied
+    odds = lambda a, b: (a + 0.5) / (b - a + 0.5)
+    base = odds(ones, n)
+    mine = odds(one[some], total[some])
+    expected = mine[:, None] * mine / base
+    expected = both * expected / (1 + expected)
+    apart = np.where(both_one > 0, both_one * np.log(np.maximum(both_one, 1e-12) / np.maximum(expected, 1e-12)), 0)
+    rest, rest_expected = both - both_one, both - expected
+    apart = 2 * (apart + np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-12) / np.maximum(rest_expected, 1e-12)), 0))
+    together = _likelihood(both_one, both, ones, n) - np.maximum(alone[:, None], alone)
+    found = (both >= 8) & (together >= telling) & (apart >= telling)
+    np.fill_diagonal(found, False)
+    return some[found.any(1)]
+
+
+def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: int = 8, steps: int = 2500, rate: float = 0.15, decay: float = 1e-5, least: int = 4, telling: float = 15.0, together: float = 45.0, frequent: int = 1000, seed: int = 7) -> Machine:
+    """Fit by AdaGrad over mini-batches of 256, ``steps`` at least. Terms in under ``least`` texts are left out, and so are those that
+    tell little of the label: neither by presence alone (likelihood ratio of ``telling``) nor, among the ``frequent`` most frequent ones, by presence
+    together with another (``together``, higher as there are many pairs). So a term that is neutral alone stays if a pair needs it. Without both labels the score is the share of 1."""
     n, y = len(labels), labels.astype(np.float64)
     share = (y.sum() + 0.5) / (n + 1)
     bias = float(np.log(share / (1 - share)))
@@ -93,16 +142,11 @@ def fit(flat_terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, factors: i
     one = np.zeros(len(known))
     one[np.searchsorted(known, marked)] = times
 
-    def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / b), 0)
-
     common = total >= least
     known, total, one = known[common], total[common].astype(float), one[common]
-    p = y.mean()
-    ratio = 2 * (part(one, total * p) + part(total - one, total * (1 - p)))
-    rest, rest_one = n - total, y.sum() - one
-    ratio += 2 * (part(rest_one, np.maximum(rest, 1e-9) * p) + part(rest - rest_one, np.maximum(rest, 1e-9) * (1 - p)))
-    known = known[ratio >= telling]
+    kept = _likelihood(one, total, y.sum(), n) >= telling
+    kept[_paired(known, total, one, flat_terms, ends, y, together, frequent)] = True
+    known = known[kept]
     if not len(known):
         return empty
     hits, places = [], []
@@ -151,7 +195,8 @@ def remainder(id_col: str, parts: int):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 16_000, holdout: tuple[int, int] = (3, 1), **options) -> Machine:
     """A machine from at most ``sample`` labelled rows (those of the least id hashes) whose crc32 remainder is not held out.
 
-    Rows of ``labels`` that disagree on an id, have a null or another label than 0 and 1 are left out, and so are labels without a document.
+    Rows of ``labels`` that disagree on an id, have a null or another label than 0 and 1 are left out, and so are labels without a document. Of the sample, rows of
+    ``docs`` that share an id are each a text with the id's label; repeated rows of ``labels`` count once.
     """
     parts, held = holdout
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id is not null and _label in (0, 1)")
@@ -177,16 +222,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """All rows and columns of ``docs`` with score (double) and predicted (int), which replace columns of these names.
 
-    Null and empty texts get the score of no terms.
+    Null and empty texts get the score of no terms. Other columns may have any name; repeated rows have a row each.
     """
     held = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the sample
     docs = docs.drop("score", "predicted")
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for b in batches:
             s = held.value.scores(*terms(b.column(at)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*b.schema.names, "score", "predicted"])
         trim()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return mapped(docs, run, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
