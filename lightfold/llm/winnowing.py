@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,39 +90,46 @@ def _fingerprinted(k: int, w: int):
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 24, w: int = 77, range_bytes: int = 4 << 20) -> DataFrame:
+def _borders(docs: DataFrame, ranges: int) -> np.ndarray:
+    """The first id of each of about ``ranges`` ranges of equally many rows, the least id first. They are quantiles of ids, those
+    whose hash a number divides (about 64 for each range), so clumped ids are split like others and reruns agree."""
+    low, count = docs.agg(F.min("id"), F.count("*")).first()
+    if ranges < 2:
+        return np.array([low], np.int64)
+    step = max(1, count // (64 * ranges))
+    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("id").toArrow().column(0).to_numpy()
+    some = np.sort(some)[:: max(1, len(some) // ranges)]
+    return np.unique(np.r_[np.int64(low), some])
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 24, w: int = 77, range_bytes: int = 4 << 20, most: int = 50_000) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for each row.
 
     The next document is the next by id (equal ids: by text, so repeated rows follow each other), the
     first after the last. Null texts are empty; rows with a null id have no place in the order and
-    are left out; extra columns are ignored; an empty table gives an empty one.
+    are left out; extra columns are ignored; an empty table gives an empty one. Ids may be any longs.
 
-    Ids are counted in equal steps (four for each range, 4096 to 1,000,000 of them), from which ranges of about ``range_bytes`` of text are made;
-    each range is sorted and read in order by one task, with a copy of the first row of the next
-    range. Texts are shuffled once. Clumped ids make ranges longer, which sorts on disk, never wrong.
+    Rows are dealt into ranges of ids of about ``range_bytes`` of text, at most ``most`` of them (then they are longer and are
+    sorted on disk); their borders are on the driver, as those of any sort by ranges.
+    Each range is sorted and read in order by one task, with a copy of the first row of the next
+    range. Texts are shuffled once.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     out = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    low, high, size = docs.agg(F.min("id"), F.max("id"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()
-    if low is None:
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0]
+    if size is None:
         return spark.createDataFrame([], out)
-    steps = min(max(4096, 4 * size // range_bytes), 1_000_000)
-    width = (high - low) // steps + 1
-    step = ((F.col("id") - F.lit(low)) / F.lit(width)).cast("int")
-    sizes = docs.groupBy(step.alias("step")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.min("id"), F.max("id")).collect()  # a row for each step
-    of, firsts, total = {}, [], range_bytes
-    for s, n, first, _ in sorted(sizes):
-        if total >= range_bytes:
-            firsts.append(first)
-            total = 0
-        of[s] = len(firsts) - 1
-        total += n
-    ranges = F.element_at(F.lit([of.get(s, 0) for s in range(max(of) + 1)]), step + 1)
-    heads = [(first, (r - 1) % len(firsts)) for r, first in enumerate(firsts)]
+    borders = _borders(docs, min(int(size) // range_bytes + 1, most))
+
+    @F.pandas_udf("int")
+    def of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(borders, ids.to_numpy(), "right").astype(np.int32) - 1)
+
+    heads = [(int(first), (r - 1) % len(borders)) for r, first in enumerate(borders)]
     ahead = spark.createDataFrame(heads, "head long, before int")  # bounded: a row for each range
-    own = F.struct(ranges.alias("r"), F.lit(0).alias("ahead"))
-    both = docs.join(F.broadcast(ahead), F.col("id") == F.col("head"), "left")
+    own = F.struct(F.col("r"), F.lit(0).alias("ahead"))
+    both = docs.withColumn("r", of("id")).join(F.broadcast(ahead), F.col("id") == F.col("head"), "left")
     both = both.select("id", "text", F.explode(F.when(F.col("head").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("before").alias("r"), F.lit(1).alias("ahead"))))).alias("at"))
-    rows = both.select("at.r", "at.ahead", "id", "text").repartition(max(1, len(firsts)), "r").sortWithinPartitions("r", "ahead", "id", "text")
+    rows = both.select("at.r", "at.ahead", "id", "text").repartitionById(len(borders), F.col("r")).sortWithinPartitions("r", "ahead", "id", "text")
     return rows.mapInArrow(_fingerprinted(k, w), out)
