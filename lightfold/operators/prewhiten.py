@@ -7,6 +7,7 @@ few thousand points, which bounds a task's memory.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -19,11 +20,46 @@ from .spectrum import ANGLE, DAY_TO_MICROHERTZ, MEDIAN_TO_MEAN
 PEAKS = "series_id long, num int, harmonic int, frequency double, amplitude double, phase double, alpha double, beta double, deviation double"
 
 
+class Grid:
+    """Sines and cosines of a series' times at even frequencies, and the sums that do not depend on the flux.
+
+    A block's are those of the first block turned by one angle for each point, so trigonometric functions are evaluated for one
+    block alone; small grids are kept whole.
+    """
+
+    BLOCK, KEPT = 128, 2_000_000
+
+    def __init__(self, t: np.ndarray, step: float, count: int):
+        self.step, self.count = step, count
+        self.first = np.exp(1j * ANGLE * step * np.arange(1, min(self.BLOCK, count) + 1)[:, None] * t)
+        self.t, self.held = t, None
+        sums = [((e.imag**2).sum(1), (e.real**2).sum(1), (e.imag * e.real).sum(1)) for e in self._turned()]
+        self.ss, self.cc, self.cs = (np.concatenate([s[k] for s in sums]) if sums else np.zeros(0) for k in range(3))
+        if count * len(t) <= self.KEPT:
+            self.held = list(self._turned())
+
+    def _turned(self) -> Iterator[np.ndarray]:
+        for a in range(0, self.count, self.BLOCK):
+            e = self.first[: min(self.BLOCK, self.count - a)]
+            yield e * np.exp(1j * ANGLE * self.step * a * self.t) if a else e
+
+    def fit(self, y: np.ndarray) -> np.ndarray:
+        """The fall of the residual sum of squares at each frequency."""
+        both = [e @ y for e in (self.held if self.held is not None else self._turned())]
+        both = np.concatenate(both) if both else np.zeros(0, complex)
+        ys, yc = both.imag, both.real
+        with np.errstate(divide="ignore", invalid="ignore"):
+            raw = (ys * ys * self.cc + yc * yc * self.ss - 2 * ys * yc * self.cs) / (self.ss * self.cc - self.cs**2)
+        return np.clip(np.nan_to_num(raw), 0, None)
+
+
 class Spectrum:
-    """Exact least-squares spectrum of one series; frequencies in microhertz, times in days."""
+    """Exact least-squares spectrum of one series; frequencies in microhertz, times in days. ``like`` is another of the same
+    times, whose grid is taken over."""
 
-    def __init__(self, t: np.ndarray, y: np.ndarray):
+    def __init__(self, t: np.ndarray, y: np.ndarray, like: Spectrum | None = None):
         self.t, self.y = t, y - y.mean()
+        self.grids: dict[tuple[int, float], Grid] = like.grids if like else {}
         span = float(t.max() - t.min()) if len(t) else 0.0
         self.df = DAY_TO_MICROHERTZ / span if span else math.nan
         step = float(np.median(np.diff(t))) if len(t) > 1 else 0.0
@@ -47,28 +83,28 @@ class Spectrum:
     def power(self, oversampling: int = 4, nyquist_factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
         """The grid up to the Nyquist frequency, and power so that the sum over the unit grid is twice the mean square."""
         top = self.nyquist * nyquist_factor
-        f = np.arange(1, int(top / (self.df / oversampling)) + 1) * self.df / oversampling
-        raw = self.fit(f)[2]
+        step, key = self.df / oversampling, (oversampling, nyquist_factor)
+        if key not in self.grids:
+            self.grids[key] = Grid(self.t, step, int(top / step))
+        f = np.arange(1, self.grids[key].count + 1) * self.df / oversampling
+        raw = self.grids[key].fit(self.y)
         unit = raw[oversampling - 1 :: oversampling].sum()
         return f, 2 * raw * (np.mean(self.y**2) / unit if unit else 0.0)
 
     def optimum(self, f: float | list[float], within: float = 1e-5) -> float:
-        """The frequency of greatest power near ``f``, or between the outer two of three (golden section)."""
+        """The frequency of greatest power near ``f``, or between the outer two of three: the best of even steps, then of the steps about it."""
         low, high = (f[0], f[2]) if isinstance(f, list) else (f - 2 * self.df, f + 2 * self.df)
         low = max(low, 0.25 * self.df)
-        g = (math.sqrt(5) - 1) / 2
-        a, b = high - g * (high - low), low + g * (high - low)
-        pa, pb = self.fit(a)[2][0], self.fit(b)[2][0]
         while high - low > within:
-            if pa > pb:
-                high, b, pb = b, a, pa
-                a = high - g * (high - low)
-                pa = self.fit(a)[2][0]
-            else:
-                low, a, pa = a, b, pb
-                b = low + g * (high - low)
-                pb = self.fit(b)[2][0]
-        return (low + high) / 2
+            tried = np.linspace(low, high, 14)
+            w = np.multiply.outer(ANGLE * tried, self.t)
+            s, c = np.sin(w), np.cos(w)
+            ys, yc, ss, cs = s @ self.y, c @ self.y, np.einsum("ij,ij->i", s, s), np.einsum("ij,ij->i", s, c)
+            cc = len(self.t) - ss
+            raw = (ys * ys * cc + yc * yc * ss - 2 * ys * yc * cs) / np.maximum(ss * cc - cs * cs, 1e-300)
+            best = int(raw.argmax())
+            low, high = tried[max(best - 1, 0)], tried[min(best + 1, 13)]
+        return float((low + high) / 2)
 
     def false_alarm(self, f: float) -> float:
         """Baluev's bound for a peak as high as that at ``f``."""
@@ -162,7 +198,7 @@ def extract(t: np.ndarray, y: np.ndarray, peaks: int = 6, harmonics: int = 0, ov
             return (values > 1 / deviation) | (values < deviation)
 
     for i in range(peaks if first and first.total > 0 else 0):
-        spectrum = Spectrum(t, rest)
+        spectrum = Spectrum(t, rest, first)
         f, power = spectrum.power(oversampling, nyquist_factor)
         if len(f) < 3:
             break
