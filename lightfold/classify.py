@@ -19,7 +19,7 @@ from . import training
 from .functions import labels as lb
 from .functions.numbers import finite
 from .operators import features as fs
-from .operators import learning, prewhiten, series, spectrum, tasks
+from .operators import learning, network, prewhiten, series, spectrum, tasks
 from .schemas import RESULT, Status
 from .sources import lightcurves
 from .store import DiagnosticsNotAvailableError, Store
@@ -31,7 +31,7 @@ SIZES: dict[str, dict] = {
     "rfgc": {"trees": 1000, "depth": 15, "subset": "4"},
     "sortinghat": {"trees": 1000, "depth": 15},
     "xgb": {"rounds": 500, "depth": 6},
-    "slosh": {"hidden": 128, "rounds": 50, "bins": 16},
+    "slosh": {"hidden": 128, "epochs": 50, "bins": 128},
     "meta": {"trees": 100, "depth": 7},
     "map": {"width": 400, "sweeps": 300},
 }
@@ -237,7 +237,7 @@ def train(store: Store, folder: str, tset: str, holdout: float = 0.2, linfit: bo
         raise ValueError("the holdout must be at least 0 and under 1")
     sizes = {**SIZES, **(sizes or {})}
     classes = list(store.classes)
-    bins = sizes["slosh"].get("bins", 16)
+    bins = sizes["slosh"].get("bins", 128)
     with Work(store) as work:
         names = F.array(*map(F.lit, classes))
         own = store.read("todolist").select("priority", lb.single(lb.split(F.col("known_class"))).alias("name"))
@@ -254,7 +254,7 @@ def train(store: Store, folder: str, tset: str, holdout: float = 0.2, linfit: bo
         columns = {**NAMES, "rfgc": (*fs.RFGC, "detrend_coeff_norm") if linfit else fs.RFGC}
         makers = {
             "rfgc": lambda: learning.Forest(list(columns["rfgc"]), classes, **sizes["rfgc"]),
-            "slosh": lambda: learning.Perceptron("vector", bins * bins, classes, **{k: v for k, v in sizes["slosh"].items() if k != "bins"}),
+            "slosh": lambda: network.ImageNetwork("vector", bins, classes, **{k: v for k, v in sizes["slosh"].items() if k != "bins"}),
             "xgb": lambda: learning.Boosted(list(columns["xgb"]), classes, **sizes["xgb"]),
             "sortinghat": lambda: learning.Forest(list(columns["sortinghat"]), classes, **sizes["sortinghat"]),
         }

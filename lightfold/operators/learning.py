@@ -197,7 +197,13 @@ class Classifier:
         told = {"kind": type(self).__name__, "features": self.features, "classes": self.classes} | {k: getattr(self, k) for k in self.settings}
         spark = SparkSession.getActiveSession()
         spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
-        self.model.write().overwrite().save(f"{path}/model")
+        self.write(f"{path}/model")
+
+    def write(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+    def restore(self, path: str) -> None:
+        self.model = DefaultParamsReader.loadParamsInstance(path, SparkSession.getActiveSession().sparkContext)
 
     # hooks of runs that subclasses may fill
 
@@ -282,5 +288,5 @@ def load(path: str) -> Classifier:
     kind = kinds[told.pop("kind")]
     out = kind.__new__(kind)
     out.__dict__.update(told)
-    out.model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext)
+    out.restore(f"{path}/model")
     return out

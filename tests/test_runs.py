@@ -13,7 +13,7 @@ from lightfold.schemas import Status
 from lightfold.store import DiagnosticsNotAvailableError, Store
 
 CLASSES = ("SOLARLIKE", "RRLYR_CEPHEID", "CONSTANT")
-SIZES = {"rfgc": {"trees": 8, "depth": 3, "subset": "4"}, "sortinghat": {"trees": 8, "depth": 3}, "xgb": {"rounds": 1, "depth": 2}, "slosh": {"hidden": 8, "rounds": 10, "bins": 8}, "meta": {"trees": 10, "depth": 3}, "map": {"width": 6, "sweeps": 5}}
+SIZES = {"rfgc": {"trees": 8, "depth": 3, "subset": "4"}, "sortinghat": {"trees": 8, "depth": 3}, "xgb": {"rounds": 1, "depth": 2}, "slosh": {"hidden": 8, "epochs": 4, "bins": 16, "filters": [2, 3]}, "meta": {"trees": 10, "depth": 3}, "map": {"width": 6, "sweeps": 5}}
 
 
 def _curve(kind, seed):
@@ -142,3 +142,46 @@ def test_maps_as_text(spark, tmp_path):
     (tmp_path / "wrong.txt").write_text("2,2,1\n0.5\n")
     with pytest.raises(ValueError):
         learning.load_map(spark, str(tmp_path / "wrong.txt"))
+
+
+def test_image_network(spark, tmp_path):
+    """Gradients against differences; bars that lie and bars that stand; a round trip."""
+    import numpy as np
+
+    from lightfold.operators import network
+
+    rng = np.random.default_rng(1)
+    weights = [w.astype(float) for w in network.started(8, (2, 3), 4, 2, rng)]
+    x, y = rng.random((3, 8, 8, 1)), np.array([0, 1, 1])
+
+    def loss():
+        p = network.forward(weights, x)[0]
+        return -np.log(p[np.arange(3), y]).mean() + network.DECAY * sum(float((w * w).sum()) for w in (weights[0], weights[2], weights[-4]))
+
+    p, kept = network.forward(weights, x)
+    p[np.arange(3), y] -= 1
+    for w, g in zip(weights, network.backward(weights, kept, p / 3), strict=True):
+        for _ in range(3):
+            i = tuple(rng.integers(0, n) for n in w.shape)
+            w[i] += 1e-5
+            up = loss()
+            w[i] -= 2e-5
+            assert (up - loss()) / 2e-5 == pytest.approx(g[i], abs=1e-4)
+            w[i] += 1e-5
+
+    rows = []
+    for n in range(120):
+        picture = (rng.random((12, 12)) < 0.1).astype(float)
+        at = rng.integers(1, 11)
+        picture[(at, slice(None)) if n % 2 else (slice(None), at)] = 1
+        rows.append((n, n % 2, picture.ravel().tolist()))
+    data = spark.createDataFrame(rows, "priority long, label int, vector array<double>")
+    model = network.ImageNetwork("vector", 12, ["stands", "lies"], filters=(4, 8), hidden=16, epochs=25, rate=5e-3).fit(data.where("priority < 90"))
+    told = model.predict(data.where("priority >= 90"), "priority").where("prob > 0.5").collect()
+    assert np.mean([(r["class"] == "lies") == (r["priority"] % 2 == 1) for r in told]) > 0.8
+    model.save(str(tmp_path / "model"))
+    again = learning.load(str(tmp_path / "model"))
+    assert [tuple(r) for r in again.predict(data, "priority").orderBy("priority", "class").collect()] == [tuple(r) for r in model.predict(data, "priority").orderBy("priority", "class").collect()]
+    again.dropped = True
+    sums = again.predict(data.limit(5), "priority").groupBy("priority").sum("prob").collect()
+    assert len(sums) == 5 and all(abs(r[1] - 1) < 1e-5 for r in sums)
