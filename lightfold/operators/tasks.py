@@ -69,6 +69,12 @@ def ok_results(results: DataFrame, diagnostics: DataFrame) -> DataFrame:
     return results.join(ok, ["priority", "classifier"]).select("priority", "classifier", "class", "prob")
 
 
+def with_outcome(targets: DataFrame, diagnostics: DataFrame, classifier: str) -> DataFrame:
+    """All targets with the status that a classifier gave them, null where there is none."""
+    own = diagnostics.where(F.col("classifier") == classifier).select("priority", "status")
+    return targets.select("priority").join(own, "priority", "left")
+
+
 def nested(results: DataFrame) -> DataFrame:
     """One row for each target: its probabilities as an array by classifier and class."""
     row = F.struct("classifier", "class", "prob")

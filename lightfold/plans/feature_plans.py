@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, prewhiten, spectrum
-from .registry import LC, lightcurve, query, tidy
+from .registry import LC, lightcurve, query, rounded, tidy
 from .spectral_plans import _FIT, _sums_sql
 
 
@@ -26,6 +26,14 @@ gr AS (SELECT c0.series_id, x, y, 1e6 / 86400 / span AS step, CAST(k.range AS IN
     + """, rw AS (SELECT *, greatest(alpha * ys + beta * yc, 0) AS raw FROM ab), nm AS (SELECT *, var / sum(raw) OVER (PARTITION BY series_id) AS norm FROM rw),
 ps AS MATERIALIZED (SELECT series_id, frequency, norm * raw / step AS density FROM nm)"""
 )
+
+
+@query(_WHOLE + " SELECT series_id, round(frequency, 6) + 0.0 AS frequency, round(density, 4) + 0.0 AS density FROM ps")
+def periodogram_to_nyquist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spectrum.periodogram(lightcurve(spark, sf_dir), None)
+    return found.select("series_id", rounded(F.col("frequency")).alias("frequency"), rounded(F.col("density"), 4).alias("density"))
+
+
 _BANDS = {"Fp07": "0.7 AND 277", "Fp7": "7 AND 277", "Fp20": "20 AND 277", "Fp50": "50 AND 277", "Fphi": "0 AND 28", "Fplo": "250 AND 277"}
 
 

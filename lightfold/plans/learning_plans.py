@@ -118,6 +118,34 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(ev.report(_pairs(spark, sf_dir), CLASSES))
 
 
+@query(_JUDGED + """, j2 AS (SELECT score, positive FROM j UNION ALL SELECT 1 - score, 1 - positive FROM j),
+ti AS (SELECT score, sum(positive) AS p, count(*) - sum(positive) AS n FROM j2 GROUP BY 1),
+ro AS (SELECT score AS threshold, sum(n) OVER w / CAST((SELECT sum(n) FROM ti) AS DOUBLE) AS fpr, sum(p) OVER w / CAST((SELECT sum(p) FROM ti) AS DOUBLE) AS tpr FROM ti WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+UNION ALL SELECT max(score) + 1, 0, 0 FROM j2),
+ar AS (SELECT (fpr - lag(fpr) OVER w) * (tpr + lag(tpr) OVER w) / 2 AS area FROM ro WINDOW w AS (ORDER BY threshold DESC)) SELECT round(sum(area), 6) + 0.0 AS auc FROM ar""")
+def roc_auc_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two classes taken together, good by the score and bad by the rest."""
+    good = _judged(spark, sf_dir).select("score", "positive")
+    both = good.unionByName(good.select((1 - F.col("score")).alias("score"), (1 - F.col("positive")).alias("positive")))
+    return tidy(ev.auc(ev.micro(both)))
+
+
+@query("""WITH a AS (SELECT CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE 'y' END AS class, (n_chars % 997) / 997e0 AS score, quality AS positive FROM documents JOIN labels USING (doc_id)),
+ti AS (SELECT class, score, sum(positive) AS p, count(*) - sum(positive) AS n FROM a GROUP BY 1, 2),
+ro AS (SELECT class, score AS threshold, sum(n) OVER w / CAST(sum(n) OVER v AS DOUBLE) AS fpr, sum(p) OVER w / CAST(sum(p) OVER v AS DOUBLE) AS tpr FROM ti WINDOW w AS (PARTITION BY class ORDER BY score DESC ROWS UNBOUNDED PRECEDING), v AS (PARTITION BY class)
+UNION ALL SELECT class, max(score) + 1, 0, 0 FROM a GROUP BY 1),
+ar AS (SELECT class, (fpr - lag(fpr) OVER w) * (tpr + lag(tpr) OVER w) / 2 AS area FROM ro WINDOW w AS (PARTITION BY class ORDER BY threshold DESC)) SELECT class, round(sum(area), 6) + 0.0 AS auc FROM ar GROUP BY 1""")
+def roc_auc_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _judged(spark, sf_dir).withColumn("class", F.when(F.col("doc_id") % 3 == 0, "x").otherwise("y"))
+    return tidy(ev.auc(ev.roc(scored, ["class"]), ["class"]))
+
+
+@query("""WITH t AS (SELECT count(*) AS whole FROM embeddings), p AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n, count(*) OVER (PARTITION BY label) AS c FROM embeddings)
+SELECT vec_id, label FROM p CROSS JOIN t WHERE whole <= 200 OR n <= round(c * (200 / CAST(whole AS DOUBLE)))""")
+def stratified_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml.subsampled(_vectors(spark, sf_dir), "label", "vec_id", 200).select("vec_id", "label")
+
+
 @query(_JUDGED + _ROC + " SELECT round(threshold, 6) + 0.0 AS threshold, round(fpr, 6) + 0.0 AS fpr, round(tpr, 6) + 0.0 AS tpr FROM ro")
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(ev.roc(_judged(spark, sf_dir)))

@@ -175,17 +175,35 @@ def som_input_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(s.shape_vector(lightcurve(spark, sf_dir), F.lit(PERIOD)))
 
 
-@query(LC + _LINE.format(w="1e0") + ", fd AS (SELECT series_id, t, flux - level - slope * x + 1 AS flux FROM x JOIN l USING (series_id))" + _bins_sql(f"2 * {PERIOD}e0", "fd", cut=True) + f""",
+def _period_sql(period: str) -> str:
+    """Rows of a series' period, corrected; ``period`` may tell series apart by series_id."""
+    return LC + _LINE.format(w="1e0") + ", fd AS (SELECT series_id, t, flux - level - slope * x + 1 AS flux FROM x JOIN l USING (series_id))" + _bins_sql(f"2 * {period}", "fd", cut=True) + f""",
 b AS (SELECT *, first_value(phase) OVER w AS bp, first_value(flux) OVER w AS bf FROM pb WINDOW w AS (PARTITION BY series_id ORDER BY flux, bin)),
 a AS (SELECT *, abs(phase - (bp + 0.5e0 - floor(bp + 0.5e0))) AS away FROM b),
 sec AS (SELECT series_id, min(flux) AS second, any_value(bf) AS first FROM a WHERE away < 0.05e0 OR away > 0.95e0 GROUP BY 1),
 e AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY flux, t) AS up, row_number() OVER (PARTITION BY series_id ORDER BY flux DESC, t) AS down FROM fd),
 g AS (SELECT series_id, median(flux) FILTER (down <= 30) AS top, median(flux) FILTER (up <= 30) AS bottom, max(t) - min(t) AS span FROM e GROUP BY 1)
-SELECT series_id, CASE WHEN second - first > 0.0025e0 AND second - first > 0.03e0 * (top - bottom) AND 2 * {PERIOD}e0 <= span / 2 THEN 2 * {PERIOD}e0 ELSE {PERIOD}e0 END AS period FROM g LEFT JOIN sec USING (series_id)""")
+SELECT series_id, CASE WHEN second - first > 0.0025e0 AND second - first > 0.03e0 * (top - bottom) AND 2 * {period} <= span / 2 THEN 2 * {period} ELSE {period} END AS period FROM g LEFT JOIN sec USING (series_id)"""
+
+
+@query(_period_sql(f"{PERIOD}e0"))
 def eb_period_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.corrected_period(lightcurve(spark, sf_dir), PERIOD)
 
 
+@query(_period_sql(f"({PERIOD}e0 + 0.5e0 * (series_id % 3))"))
+def eb_period_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.corrected_period(lightcurve(spark, sf_dir), F.lit(PERIOD) + 0.5 * (F.col("series_id") % 3))
+
+
+@query(LC + _LINE.format(w="1 / (flux_err * flux_err)") + _STEPS + ", p AS (SELECT series_id, median(step) AS ptp FROM d GROUP BY 1) SELECT series_id, round(abs(slope) / ptp, 6) + 0.0 AS detrend_coeff_norm FROM l JOIN p USING (series_id)")
+def detrend_coefficient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slope taken off by --linfit, over the scatter, as a feature."""
+    lc = lightcurve(spark, sf_dir)
+    both = s.trend(lc).join(s.point_to_point(lc).select("series_id", "ptp"), "series_id")
+    return tidy(both.select("series_id", (F.abs("slope") / F.col("ptp")).alias("detrend_coeff_norm")))
+
+
 @query(LC + """, m AS (SELECT series_id, flux - avg(flux) OVER (PARTITION BY series_id) AS d FROM lc)
 SELECT series_id, round(ln(sqrt(avg(d * d) FILTER (d < 0) / avg(d * d) FILTER (d >= 0))), 6) + 0.0 AS flux_ratio FROM m GROUP BY 1""")
 def flux_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

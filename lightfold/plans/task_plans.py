@@ -167,3 +167,8 @@ def final_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     probs = e.join(total, "priority").select("priority", "class", (F.col("n") / F.col("total")).alias("prob"))
     thresholds = spark.createDataFrame(list(THRESHOLDS.items()), "class string, threshold double")
     return k.final_class(probs, thresholds).withColumn("prob", rounded(F.col("prob")))
+
+
+@query(_WITH + " SELECT todo.priority, status FROM todo LEFT JOIN dg ON dg.priority = todo.priority AND dg.classifier = 'xgb'")
+def outcome_of_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k.with_outcome(todolist(spark, sf_dir), diagnostics(spark, sf_dir), "xgb")
