@@ -3,9 +3,11 @@
 The index is a table of shards of some thousand documents, each with its terms' postings in document
 order. Statistics are global: document counts of terms are summed over all shards before any
 scoring, so a score does not depend on the shard. Queries are broadcast in batches; at a shard, a query
-of few terms skips what block maxima rule out, and one of many adds up all postings of its terms, both
-in the same order. The shards' lists of the best are merged, which is exact, as every shard returns its
-own best k.
+of few terms skips what block maxima rule out, and queries of many, which bounds hardly prune, add up all postings of their terms, many queries
+at once. Scores are rounded to 9 decimals, so equal documents tie whatever the order of sums. A batch of queries goes to ``GROUPS`` tasks, each of which takes its share of the shards one after
+the other, carries every query's best k and their least score from shard to shard, and sends one list for each query at the end. The lists
+are merged, which is exact, as every task returns its own best k. So the lists grow with the queries alone, and a bigger cluster runs
+more batches at once (``at_once``).
 
 A term that all documents hold is one entry for each shard, so no term's postings meet in a task.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,12 +31,18 @@ from .scratch import written
 from .textops import U, flat, planes, slices, trim, unplanes, words
 
 #: Postings and documents of a shard, at most (a longer single document makes a larger one).
-POSTINGS, DOCUMENTS = 1_500_000, 8192
+POSTINGS, DOCUMENTS = 1_000_000, 8192
 BLOCK = 64
 #: Up to so many terms a query is searched by block-max WAND; with more, which bounds hardly prune, all postings are added up.
 FEW = 16
 #: (query, term) pairs of a batch of queries, which is broadcast to all shards.
 ASKED = 2_000_000
+#: Terms of more than one in so many of a shard's documents are rows of a matrix; the others are lists.
+DENSE = 6
+#: Scores (queries times documents) that are added up at once.
+CELLS = 300_000
+#: Tasks of a batch of queries.
+GROUPS = 32
 _INDEX = "shard long, documents long, words long, ids binary, lengths binary, terms binary, held binary, places binary, times binary"
 
 
@@ -132,13 +141,13 @@ def _batch(asked: pa.Table) -> Asked:
     return Asked(query[cuts[:-1]], cuts, back.astype(np.int32), terms, weight[first])
 
 
-def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]], k: int) -> list[tuple[float, int]]:
-    """The best ``k`` (score, place) by falling score, then place. lists: for each term the places in order, the score that
-    each adds, the maximum of each block of postings, and of all."""
+def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]], k: int, floor: float = -1.0) -> list[tuple[float, int]]:
+    """The best ``k`` (score, place) by falling score, then place; of those under ``floor`` any may be missing. lists: for each
+    term the places in order, the score that each adds, the maximum of each block of postings, and of all."""
     best: list[tuple[float, int]] = []  # least first, of equal scores the later place first
     at = [0] * len(lists)
     live = [i for i in range(len(lists)) if lists[i][0]]
-    full = -1.0
+    full = floor * (1 - 1e-12) - 1e-9  # which is rounded
     while live:
         live.sort(key=lambda i: lists[i][0][at[i]])
         bound, pivot = 0.0, -1
@@ -162,13 +171,13 @@ def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]
         if bound <= full:
             to = max(upto, d + 1)
         elif lists[live[0]][0][at[live[0]]] == d:
-            score = sum(lists[i][1][at[i]] for i in sorted(live[: pivot + 1]))
+            score = round(sum(lists[i][1][at[i]] for i in live[: pivot + 1]), 9)
             if len(best) < k:
                 heapq.heappush(best, (score, -d))
             elif (score, -d) > best[0]:
                 heapq.heapreplace(best, (score, -d))
             if len(best) == k:
-                full = best[0][0] * (1 - 1e-12)  # sums of bounds may round below a score
+                full = max(full, best[0][0] * (1 - 1e-12))  # sums of bounds may round below a score
             to = d + 1
         else:
             to = d
@@ -179,69 +188,126 @@ def block_max_wand(lists: list[tuple[list[int], list[float], list[float], float]
     return [(s, -d) for s, d in sorted(best, reverse=True)]
 
 
-def best_of_all(lists: list[tuple[np.ndarray | None, np.ndarray]], documents: int, k: int) -> list[tuple[float, int]]:
-    """As ``block_max_wand``, by adding up all postings; lists: for each term the places, or None if its scores are one for each document, and the scores."""
-    total = np.zeros(documents)
-    for places, adds in lists:
-        if places is None:
-            total += adds
-        else:
-            total[places] += adds
-    at = np.flatnonzero(total > 0)
+def best_of_all(totals: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """The best ``k`` places by falling score, then place, and their scores, of all documents' scores; those of 0 or under ``floor`` are left out."""
+    at = np.flatnonzero((totals > 0) & (totals >= floor))
     if len(at) > k:
-        at = at[total[at] >= np.partition(total[at], len(at) - k)[len(at) - k]]
-    return [(float(total[d]), int(d)) for d in at[np.argsort(-total[at], kind="stable")][:k]]
+        at = at[totals[at] >= np.partition(totals[at], len(at) - k)[len(at) - k]]
+    at = at[np.argsort(-totals[at], kind="stable")][:k]
+    return at, totals[at]
 
 
-def _found(asked, k: int, mean: float, k1: float, b: float):
-    def best(row: dict, own: Asked) -> Iterator[tuple[int, int, float]]:
-        ids, lengths = unplanes(row["ids"]).view(np.int64), unplanes(row["lengths"]).astype(float)
+class Best:
+    """The best ``k`` of each query so far: scores, falling, and ids; of equal scores the lesser id first."""
+
+    def __init__(self, queries: int, k: int):
+        self.scores, self.ids = np.full((queries, k), -1.0), np.zeros((queries, k), np.int64)
+
+    def floor(self, q: int) -> float:
+        return float(self.scores[q, -1])
+
+    def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        s, i = np.r_[self.scores[q], scores], np.r_[self.ids[q], ids]
+        order = np.lexsort((i, -s))[: self.scores.shape[1]]
+        self.scores[q], self.ids[q] = s[order], i[order]
+
+
+class Shard:
+    """A shard's postings of the terms that a batch of queries asks for, with the score that each adds."""
+
+    def __init__(self, row: dict, own: Asked, mean: float, k1: float, b: float):
+        self.ids, lengths = unplanes(row["ids"]).view(np.int64), unplanes(row["lengths"]).astype(float)
         terms, held = unplanes(row["terms"]), unplanes(row["held"], 4).astype(np.int64)
         first = np.r_[0, np.cumsum(held)]
-        places, times = unplanes(row["places"], 4).astype(np.int64), unplanes(row["times"], 4).astype(float)
-        share = times * (k1 + 1) / (times + k1 * (1 - b + b * lengths[places] / mean))
         n = np.minimum(np.searchsorted(terms, own.terms), len(terms) - 1)
         hit = np.flatnonzero(terms[n] == own.terms)
-        where = np.full(len(own.terms), -1, np.int64)
-        where[hit] = np.arange(len(hit))
-        weights = own.weights[hit].tolist()
-        spans = list(zip(first[n[hit]].tolist(), first[n[hit] + 1].tolist(), strict=True))
-        kept: dict[int, tuple] = {}
-        listed: dict[int, tuple] = {}
-
-        def of(t: int) -> tuple:
-            if t not in kept:
-                x, y = spans[t]
-                adds = weights[t] * share[x:y]
-                if (y - x) * 4 > len(ids):  # faster as one number for each document
-                    dense = np.zeros(len(ids))
-                    dense[places[x:y]] = adds
-                    kept[t] = (None, dense)
-                else:
-                    kept[t] = (places[x:y], adds)
-            return kept[t]
-
-        def blocks(t: int) -> tuple:
-            if t not in listed:
-                x, y = spans[t]
-                adds = weights[t] * share[x:y]
-                listed[t] = (places[x:y].tolist(), adds.tolist(), np.maximum.reduceat(adds, np.arange(0, len(adds), BLOCK)).tolist(), float(adds.max()))
-            return listed[t]
-
-        for q, x, y in zip(own.ids.tolist(), own.ranges[:-1].tolist(), own.ranges[1:].tolist(), strict=True):
-            at = where[own.places[x:y]]
-            at = at[at >= 0].tolist()
-            got = block_max_wand([blocks(t) for t in at], k) if len(at) <= FEW else best_of_all([of(t) for t in at], len(ids), k)
-            for s, d in got:
-                yield q, int(ids[d]), s
+        n = n[hit]
+        self.where = np.full(len(own.terms), -1, np.int64)  # of each asked term, its place among those that the shard has
+        self.where[hit] = np.arange(len(hit))
+        self.count = held[n]
+        self.start = np.cumsum(self.count) - self.count
+        every = _ranges(first[n], self.count)
+        self.places = unplanes(row["places"], 4).astype(np.int32)[every]
+        self.adds = unplanes(row["times"], 4).astype(np.float32)[every].astype(float)
+        below = (k1 * (1 - b + b * lengths / mean))[self.places]
+        below += self.adds
+        self.adds *= k1 + 1
+        self.adds /= below
+        del every, below
+        self.adds *= np.repeat(own.weights[hit], self.count)
+        self.blocks: dict[int, tuple] = {}
+        dense = np.flatnonzero(self.count * DENSE > len(self.ids))
+        self.row = np.full(len(hit), -1, np.int64)  # of each term that many documents have, its row of the matrix
+        self.row[dense] = np.arange(len(dense))
+        self.matrix = np.zeros((len(dense), len(self.ids)))
+        for r, t in enumerate(dense.tolist()):
+            span = slice(self.start[t], self.start[t] + self.count[t])
+            self.matrix[r, self.places[span]] = self.adds[span]
+
+    def listed(self, t: int) -> tuple:
+        if t not in self.blocks:
+            span = slice(self.start[t], self.start[t] + self.count[t])
+            adds = self.adds[span]
+            self.blocks[t] = (self.places[span].tolist(), adds.tolist(), np.maximum.reduceat(adds, np.arange(0, len(adds), BLOCK)).tolist(), float(adds.max()))
+        return self.blocks[t]
+
+    def totals(self, queries: list[np.ndarray]) -> np.ndarray:
+        """Scores of all documents (columns) for each query (its terms' places)."""
+        size = np.array([len(q) for q in queries])
+        query, term = np.repeat(np.arange(len(queries)), size), np.concatenate(queries)
+        row = self.row[term]
+        chosen = np.zeros((len(queries), len(self.matrix)))
+        chosen[query[row >= 0], row[row >= 0]] = 1
+        out = chosen @ self.matrix
+        query, term = query[row < 0], term[row < 0]
+        every = _ranges(self.start[term], self.count[term])
+        cell = np.repeat(query * len(self.ids), self.count[term]) + self.places[every]
+        return out + np.bincount(cell, self.adds[every], out.size).reshape(out.shape)
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(count)
+    return np.repeat(start - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _found(asked, k: int, mean: float, k1: float, b: float):
+    def taken(row: dict, own: Asked, best: Best) -> None:
+        shard = Shard(row, own, mean, k1, b)
+        held = shard.where[own.places]
+        known = np.r_[0, np.cumsum(held >= 0)]
+        cuts, held = known[own.ranges], held[held >= 0]
+        step = max(1, CELLS // len(shard.ids))
+        many = []
+        for q, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            if 0 < y - x <= FEW:
+                if got := block_max_wand([shard.listed(t) for t in held[x:y].tolist()], k, best.floor(q)):
+                    best.add(q, np.array([s for s, _ in got]), shard.ids[[d for _, d in got]])
+            elif y > x:
+                many.append(q)
+        for a in range(0, len(many), step):
+            some = many[a : a + step]
+            totals = np.round(shard.totals([held[cuts[q] : cuts[q + 1]] for q in some]), 9)
+            for q, scores in zip(some, totals, strict=True):
+                at, scores = best_of_all(scores, k, best.floor(q))
+                if len(at):
+                    best.add(q, scores, shard.ids[at])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
+        own, best = asked.value, None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("ids", "lengths", "terms", "held", "places", "times")}
-                out = list(best(row, asked.value)) if row["terms"] else []
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "doc_id", "score"])
+                if row["terms"]:
+                    best = best or Best(len(own.ids), k)
+                    taken(row, own, best)
+                    trim()
+        if best:
+            q, n = np.nonzero(best.scores > 0)
+            for a in range(0, len(q), 100_000):
+                x, y = q[a : a + 100_000], n[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(own.ids[x]), pa.array(best.ids[x, y]), pa.array(best.scores[x, y])], ["query_id", "doc_id", "score"])
         trim()
 
     return run
@@ -254,7 +320,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(term), i, np.int64)), pa.array(term.view(np.int64)), pa.array(times.astype(np.int64))], ["query", "term", "times"])
 
 
-def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, query_terms: int | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, query_terms: int | None = None, k1: float = 1.2, b: float = 0.75, at_once: int = 2) -> DataFrame:
     """(query_id, rank, doc_id, score): the best ``k`` documents of each query, by falling score, then id.
 
     A document's score is the sum over the query's distinct terms of idf * tf (k1 + 1) / (tf + k1 (1 - b +
@@ -282,13 +348,19 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_co
         order = Window.partitionBy("query").orderBy(F.desc(gain), "term")  # a document's own terms
         known = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= query_terms)
     chosen = written(known.select("query", "term", "weight"), "asked")
-    parts = int(chosen.count() / ASKED) + 1
-    part = F.pmod(F.xxhash64("query"), F.lit(parts))
-    hits = []
-    for n in range(parts):
-        asked = spark.sparkContext.broadcast(_batch(chosen.where(part == n).toArrow()))  # ASKED rows on average
-        hits.append(written(index.mapInArrow(_found(asked, k, total / documents, k1, b), "query_id long, doc_id long, score double"), "hits"))
+    parts = chosen.count() // ASKED + 1
+    part = F.pmod(F.xxhash64("query"), F.lit(parts)).alias("part")
+    if parts > 1:
+        chosen = written(chosen.select("query", "term", "weight", part), "asked", by="part")
+
+    def found(n: int) -> DataFrame:
+        own = chosen.where(F.col("part") == n).drop("part") if parts > 1 else chosen
+        asked = spark.sparkContext.broadcast(_batch(own.toArrow()))  # ASKED rows on average
+        hits = written(index.coalesce(GROUPS).mapInArrow(_found(asked, k, total / documents, k1, b), "query_id long, doc_id long, score double"), "hits")
         asked.destroy()
-    hits = reduce(DataFrame.union, hits)
+        return hits
+
+    with ThreadPoolExecutor(at_once) as pool:
+        hits = reduce(DataFrame.union, pool.map(found, range(parts)))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
