@@ -48,7 +48,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    mixed = mixing.mix(docs, tokenizer=public_tokenizers.path("piece_bpe_32k.model"), with_text=False)
     return mixed.select("doc_id", "source", "lang", *(mixed[f"_{c}"].alias(c) for c in ("topic", "tokens", "probability", "kept")))
 
 
