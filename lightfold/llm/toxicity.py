@@ -195,8 +195,8 @@ def remainder(id_col: str, parts: int):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 16_000, holdout: tuple[int, int] = (3, 1), **options) -> Machine:
     """A machine from at most ``sample`` labelled rows (those of the least id hashes) whose crc32 remainder is not held out.
 
-    Rows of ``labels`` that disagree on an id, have a null or another label than 0 and 1 are left out, and so are labels without a document. Of the sample, rows of
-    ``docs`` that share an id are each a text with the id's label; repeated rows of ``labels`` count once.
+    Rows of ``labels`` that disagree on an id, have a null or another label than 0 and 1 are left out, and so are labels without a document. Of rows of ``docs``
+    that share an id, the text of the least hash counts, so there are at most ``sample`` texts; repeated rows of ``labels`` count once.
     """
     parts, held = holdout
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id is not null and _label in (0, 1)")
@@ -205,14 +205,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t, ends = terms(b.column(1))
+            t, ends = terms(b.column(2))
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(t.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists], ["label", "terms"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["key", "label", "terms"])
 
     own = docs.select(F.col(id_col).alias("_own"), F.col(text_col).cast("string").alias("_text"))
     # bounded: ``sample`` pairs of numbers
-    rows = own.join(F.broadcast(chosen), F.col("_own") == F.col("_id")).select("_label", "_text")
-    got = rows.mapInArrow(run, "label int, terms array<int>").toArrow().combine_chunks()
+    rows = own.join(F.broadcast(chosen), F.col("_own") == F.col("_id")).groupBy("_id").agg(F.min_by(F.struct("_label", "_text"), F.xxhash64("_text")).alias("r")).select(F.xxhash64("_id").alias("key"), "r.*")
+    got = rows.mapInArrow(run, "key long, label int, terms array<int>").toArrow().sort_by("key").combine_chunks()  # so that reruns agree
     lists = got.column("terms").combine_chunks()
     flat_terms = lists.flatten().to_numpy().view(np.uint32)
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) if len(lists) else np.zeros(0, np.int64)
