@@ -220,6 +220,7 @@ def classify(store: Store, models: Models, folder: str, tset: str, classifier: s
     missing = [n for n in training.classifiers(classifier) if n not in models.fitted]
     if missing:
         raise learning.UntrainedClassifierError(", ".join(missing))
+    store.reset_started()  # of a run that was cut off; there is one writer at a time
     while names and _base(store, models, names, folder, tset, chunk, truncate):
         if not chunk:
             break
