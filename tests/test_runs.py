@@ -101,7 +101,7 @@ def test_command_line(spark, folder, trained, tmp_path, capsys):
     main(["todolist", str(folder / "new"), str(tmp_path / "store"), "--pattern", "star*.txt"])
     main(["tasks", str(tmp_path / "store")])
     assert capsys.readouterr().out.strip() == "30"
-    main(["classify", str(tmp_path / "store"), str(folder / "new"), "--datadir", trained[2], "-t", "testing", "-c", "sortinghat", "--chunks", "4"])
+    main(["classify", str(tmp_path / "store"), str(folder / "new"), "--datadir", trained[2], "-t", "testing", "-c", "sortinghat", "--chunks", "6"])
     main(["tasks", str(tmp_path / "store")])
     assert capsys.readouterr().out.strip() == "24"
     for wrong in (["classify", "a", "b", "--datadir", "c", "--clear-cache"], ["train", "a", "b", "--datadir", "c", "-tf", "1"], ["classify", "a", "b", "--datadir", "c", "--chunks", "0"]):
