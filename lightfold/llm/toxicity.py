@@ -204,6 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample).select("_id", "_label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for b in batches:
             t, ends = terms(b.column(2))
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(t.astype(np.int32)))
