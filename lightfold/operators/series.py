@@ -202,8 +202,13 @@ def corrected_period(lc: DataFrame, period: float | Column, bins: int = 64) -> D
 
 
 def flux_ratio(lc: DataFrame) -> DataFrame:
-    """Logarithm of the root of mean squares below the mean over those above."""
-    base = clean(lc).withColumn("d", F.col("flux") - F.avg("flux").over(by_series()))
+    """Logarithm of the root of mean squares below the mean over those above.
+
+    A flux that differs from the mean by no more than the rounding of a sum counts as the mean, so as above, in any order of the rows.
+    """
+    noise = F.lit(2.0**-51) * F.sqrt(F.count("flux").over(by_series())) * F.avg(F.abs("flux")).over(by_series())
+    base = clean(lc).withColumns({"d": F.col("flux") - F.avg("flux").over(by_series()), "noise": noise})
+    base = base.withColumn("d", F.col("d") - F.avg("d").over(by_series())).withColumn("d", F.when(F.abs("d") > F.col("noise"), F.col("d")).otherwise(0.0))
     own = base.groupBy("series_id").agg(F.avg(F.when(F.col("d") < 0, F.col("d") ** 2)).alias("below"), F.avg(F.when(F.col("d") >= 0, F.col("d") ** 2)).alias("above"))
     return own.select("series_id", F.log(F.sqrt(F.try_divide("below", "above"))).alias("flux_ratio"))
 

@@ -43,6 +43,26 @@ def test_trend_is_found(spark):
     assert series.detrended(lc).agg(F.max(F.abs("flux"))).first()[0] < 1e-6
 
 
+def test_flux_at_the_mean_is_above_it_in_any_order(spark):
+    rng = np.random.default_rng(2)
+    cents = []
+    while len(cents) < 40:  # series of 13 with one flux at the exact mean
+        c = rng.integers(1, 30000, 11).tolist()
+        total = sum(c)
+        last = -total % 12 + 12 * int(rng.integers(1, 1500))
+        cents.append([*c, last, (total + last) // 12])
+    want = []
+    for c in cents:
+        d = [13 * x - sum(c) for x in c]
+        assert 0 in d
+        low, high = [x * x for x in d if x < 0], [x * x for x in d if x >= 0]
+        want.append(math.log(math.sqrt(sum(low) / len(low) / (sum(high) / len(high)))))
+    for order in (1, -1):
+        lc = _frame(spark, *([(t, x / 100) for t, x in enumerate(c[::order])] for c in cents))
+        got = [r["flux_ratio"] for r in series.flux_ratio(lc).orderBy("series_id").collect()]
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_entropy_against_brute_force(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=40)
