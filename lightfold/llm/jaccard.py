@@ -16,7 +16,9 @@ Documents that agree on a block are not compared with each other at once. Within
 the heads of all batches, the least of them is the key's pivot and only the pairs of the pivot with each other one are kept,
 each distinct pair once; those whose sketches allow a link are verified on the sets, and connected components are taken of the links. What is left
 to compare are documents of different components below the same pivot (its others, and theirs within a batch), as all that
-share a key are below that key's pivot. Only pivots with such documents go on: below each, pairs of different
+share a key are below that key's pivot. The documents below pivots that have such are entered by their keys once more, so that only
+true holders of a key meet below its pivot, each a number of times that its own keys bound, and not all documents below a batch's head below all
+pivots of that head. Below each pivot of a key with different components, pairs of different
 components are found by Hamming distance of 1024-bit sketches, and the documents of such pairs are verified. A pivot with over ``block`` shingles below it
 is dealt into blocks, and every two blocks meet in a task. No closure is taken over unverified agreement, so chance agreements do not add up to large groups.
 
@@ -327,7 +329,7 @@ def _hashed(k: int):
 
 
 def _unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(pivot, node, root) of all documents below each pivot that has documents of different components not yet compared."""
+    """(node, root) of all documents below pivots that have documents of different components not yet compared."""
     own = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
     known = pairs.join(own("b"), "b", "left").withColumn("b_root", F.coalesce("b_root", "b"))
     known = written(known.select("kind", "a", "b", "b_root"), "pairs")
@@ -338,11 +340,80 @@ def _unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     under = under.select("a", F.least("b_root", "low").alias("low"), F.greatest("b_root", "high").alias("high"), (F.coalesce("n", F.lit(0)) + 1).alias("n"), F.coalesce("n", F.lit(0)).alias("deep"))
     pivots = below.unionByName(under).groupBy("a").agg(*spread).where("n > 1").join(own("a"), "a", "left").withColumn("a_root", F.coalesce("a_root", "a"))
     # the pivot itself has met all but those two steps below
-    pivots = written(pivots.where("low <> high or (deep > 0 and (a_root <> low or a_root <> high))").select(F.col("a").alias("pivot"), "a_root"), "pivots")
-    direct = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("b_root").alias("root")).join(pivots.select("pivot"), "pivot", "left_semi")
-    deep = heads.select(F.col("a").alias("pivot"), F.col("b").alias("a")).join(pivots.select("pivot"), "pivot", "left_semi")
-    deep = deep.join(local.select("a", F.col("b").alias("node"), F.col("b_root").alias("root")), "a").select("pivot", "node", "root")
-    return direct.unionByName(deep).unionByName(pivots.select("pivot", F.col("pivot").alias("node"), F.col("a_root").alias("root"))).distinct()
+    pivots = written(pivots.where("low <> high or (deep > 0 and (a_root <> low or a_root <> high))").select("a", "a_root"), "pivots")
+    direct = known.join(pivots.select("a"), "a", "left_semi")
+    leads = direct.where(F.col("kind") == GLOBAL).select(F.col("b").alias("a")).distinct()
+    found = direct.unionByName(local.join(leads, "a", "left_semi")).select(F.col("b").alias("node"), F.col("b_root").alias("root"))
+    return found.unionByName(pivots.select(F.col("a").alias("node"), F.col("a_root").alias("root"))).distinct()
+
+
+def _keyed(bands: Bands, buckets: int):
+    """Map batches of (node, root, hashes) to packed keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, roots, held = [], [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal keys, nodes, roots, held
+            if held:
+                count = [len(x) for x in keys]
+                key, node, root = np.concatenate(keys), np.repeat(np.array(nodes, np.int64), count), np.repeat(np.array(roots, np.int64), count)
+                order = np.argsort(key, kind="stable")
+                key, node, root = key[order], node[order], root[order]
+                cuts = np.searchsorted((key >> U(48)).astype(np.int64) * buckets >> 16, np.arange(buckets + 1))
+                full = np.flatnonzero(np.diff(cuts)).tolist()
+                columns = [pa.array([planes(x[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()) for x in (key, node, root)]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *columns], ["bucket", "key", "node", "root"])
+            keys, nodes, roots, held = [], [], [], 0
+
+        for batch in batches:
+            for node, root, s in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), strict=True):
+                keys.append(bands.keys(np.frombuffer(s.as_buffer(), U)))
+                nodes.append(node)
+                roots.append(root)
+                held += len(keys[-1])
+                if held > FLUSH:
+                    yield from flush()
+        yield from flush()
+        trim()
+
+    return run
+
+
+def _met_again(buckets: int):
+    """The keys of a bucket that documents of different components hold, to (pivot, node, root), their least holder and each holder, dealt anew by pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, node, root = _columns(table, "key", "node", "root")
+        node, root = node.view(np.int64), root.view(np.int64)
+        order = np.argsort(key, kind="stable")
+        key, node, root = key[order], node[order], root[order]
+        head = np.r_[True, key[1:] != key[:-1]]
+        first, of = np.flatnonzero(head), np.cumsum(head) - 1
+        wanted = (np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first))[of]
+        least = np.minimum.reduceat(node, first)[of]
+        found = np.unique(np.stack([least[wanted], node[wanted], root[wanted]], 1), axis=0).view(U)
+        to = (mix(found[:, 0] ^ mix(found[:, 1])) >> U(32)) * U(buckets) >> U(32)
+        order = np.argsort(to, kind="stable")
+        found, cuts = found[order], np.searchsorted(to[order], np.arange(buckets + 1, dtype=U))
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        columns = [pa.array([planes(found[cuts[i] : cuts[i + 1], c]) for i in full], pa.binary()) for c in range(3)]
+        del key, node, root, order, head, first, of, wanted, least, found, to
+        trim()
+        return pa.table([pa.array(full, pa.int32()), *columns], ["bucket", "pivot", "node", "root"])
+
+    return run
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    """The distinct (pivot, node, root) of a bucket."""
+    rows = np.unique(np.stack([c.view(np.int64) for c in _columns(table, "pivot", "node", "root")], 1), axis=0)
+    return pa.table([rows[:, 0], rows[:, 1], rows[:, 2]], ["pivot", "node", "root"])
+
+
+def _columns(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Columns of byte planes as numbers, all rows in one."""
+    return [np.concatenate([unplanes(x) for x in table.column(c).to_pylist()]) for c in names]
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100, block: int = 400_000) -> DataFrame:
@@ -385,7 +456,12 @@ def _components(docs: DataFrame, k: int, bands: Bands, block: int) -> DataFrame:
     linked = written(beside(close, "hashes").mapInArrow(_verified(bands), "a long, b long"), "links")
     roots = connected_components(linked.unionByName(exact), "components")
 
-    below = written(_unsettled(pairs, roots).join(sets.select("node", "n").distinct(), "node"), "below")
+    again = written(_unsettled(pairs, roots), "again")
+    again = F.broadcast(again) if again.count() <= SENT else again  # ids
+    keyed = sets.join(again, "node").select("node", "root", "hashes").mapInArrow(_keyed(bands, buckets), "bucket int, key binary, node binary, root binary").repartition(buckets, "bucket")
+    dealt = keyed.groupBy("bucket").applyInArrow(_met_again(buckets), "bucket int, pivot binary, node binary, root binary").repartition(buckets, "bucket")
+    below = dealt.groupBy("bucket").applyInArrow(_unpacked, "pivot long, node long, root long")
+    below = written(below.join(sets.select("node", "n").distinct(), "node"), "below")
     parts = F.ceil(F.col("total") / F.lit(block)).cast("int")
     totals = below.groupBy("pivot").agg(F.sum("n").alias("total"))
     dealt = below.join(totals, "pivot").withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))

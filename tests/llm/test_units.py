@@ -208,6 +208,36 @@ def test_large_group_of_unlinked_near_copies(spark, monkeypatch, flush, block):
     assert 60 < len({c for _, c in want.values()}) < len(texts) - 30
 
 
+def test_documents_meet_below_pivots_of_their_own_keys(spark, monkeypatch):
+    """In a large group of unlinked near copies no document is entered below a pivot that none of its keys has."""
+    import pyarrow as pa
+
+    from lightfold.llm import jaccard
+    from lightfold.llm.textops import shingle_sets
+
+    monkeypatch.setattr(jaccard, "FLUSH", 1000)
+    kept = {}
+    keep = jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name, *a: kept.setdefault(name, []).append(keep(df, name, *a)) or kept[name][-1])
+    monkeypatch.setattr(jaccard, "settled", lambda make, name: make())
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(30)]
+    texts = []
+    for _ in range(300):
+        own = [word() for _ in range(rng.randint(8, 14))]
+        texts.append(" ".join([*own[:4], *passage, *own[4:]]))
+    rows = jaccard.near_components(_docs(spark, texts).repartition(3), k=5, num=80, den=100).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == _components(texts, 5, 80)
+    holders = {}
+    for i, s in enumerate(shingle_sets(pa.array(texts), 5)):
+        for key in jaccard.Bands(80, 100).keys(s).tolist():
+            holders.setdefault(key, []).append(i)
+    allowed = {(h[0], i) for h in holders.values() if len(h) > 1 for i in h}
+    met = [(r["pivot"], r["node"]) for r in kept["below"][0].collect()]
+    assert len(met) == len(set(met)) > 300 and set(met) <= allowed
+
+
 def test_near_edges(spark):
     from lightfold.llm.jaccard import near_components, one_of_each
 
